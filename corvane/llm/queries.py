@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, flac, planes, simhash
-from .common import table
+from . import bpe, decontam, flac, langid, mixing, pii, planes, quality, simhash
+from .common import bucket, table
 
 
 def vocabulary(name: str) -> str:
@@ -23,17 +23,44 @@ def pattern() -> str:
     return public_tokenizers.PATTERN
 
 
+def op1_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held = bucket("doc_id", 5) == 1
+    found = mixing.score(table(spark, sf_dir, "documents"), ~held)
+    return found.select("doc_id", held.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte")
+
+
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held = table(spark, sf_dir, "documents"), bucket("doc_id", 4) == 2
+    found = langid.identify(docs, langid.learn(docs.where(~held)))
+    return found.select("doc_id", held.alias("held_out"), "lang_pred", "score", "spans")
+
+
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.tiktoken"), pattern())
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op6_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return planes.read_planes(planes.write_planes(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), pattern()))
 
 
+def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", *(f"n_{k}" for k in pii.KINDS), F.sha2("base", 256).alias("base_sha256"), "spans")
+
+
+def op8_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held = bucket("doc_id", 5) == 0
+    found, _ = quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels").where(~held))
+    return found.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op9_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.group(table(spark, sf_dir, "documents"))
-    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    return found.select("doc_id", F.lower(F.hex("fp")).alias("fingerprint"), "component_id")
 
 
 def op10_flac_media(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -41,7 +68,7 @@ def op10_flac_media(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_byte_bpe, op6_token_planes, op9_simhash_groups, op10_flac_media)}
+    return {f.__name__: f for f in (op1_context_mixing, op2_language_id, op3_byte_bpe, op5_decontamination, op6_token_planes, op7_personal_data, op8_rule_ensemble, op9_simhash_groups, op10_flac_media)}
 
 
 def oracle_sql() -> dict[str, str]:
