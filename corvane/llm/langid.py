@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import over_batches
+from .common import bounded_batches, over_batches
 
 SLOTS = 1 << 16
 ORDERS = (1, 2, 3, 4)
@@ -211,3 +211,24 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
         return pa.RecordBatch.from_arrays([batch.column(0), pa.array(names), pa.array(share), pa.array(spans)], ["doc_id", "lang_pred", "score", "spans"])
 
     return over_batches(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), run, "doc_id long, lang_pred string, score double, spans string")
+
+
+def keep_identified(docs: DataFrame, model: Model, least: float = 0.4) -> DataFrame:
+    """docs without those that are `und` or whose best language has under `least` of the letters; columns are kept."""
+    bounded_batches(docs.sparkSession)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index("text")
+
+    def run(batches):
+        for batch in batches:
+            m, words = shared.value, split(batch.column(at))
+            n, k = len(words.counts), max(1, len(m.langs))
+            keep = np.zeros(n, bool)
+            if m.langs:
+                scores, letters = m.scores(words.distinct)
+                label = viterbi(scores[words.ids], words.counts)
+                weight = np.bincount(np.repeat(np.arange(n), words.counts) * k + label, letters[words.ids], n * k).reshape(n, k)
+                keep = (weight.sum(1) > 0) & (weight.max(1) >= least * weight.sum(1))
+            yield batch.filter(pa.array(keep))
+
+    return docs.mapInArrow(run, docs.schema)

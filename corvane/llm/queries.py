@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, flac, langid, mixing, pii, planes, quality, simhash
+from . import bpe, decontam, flac, langid, license_scan, mixing, pii, planes, quality, simhash
 from .common import bucket, table
 
 
@@ -39,6 +39,10 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.tiktoken"), pattern())
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -68,7 +72,7 @@ def op10_flac_media(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_context_mixing, op2_language_id, op3_byte_bpe, op5_decontamination, op6_token_planes, op7_personal_data, op8_rule_ensemble, op9_simhash_groups, op10_flac_media)}
+    return {f.__name__: f for f in (op1_context_mixing, op2_language_id, op3_byte_bpe, op4_license_scan, op5_decontamination, op6_token_planes, op7_personal_data, op8_rule_ensemble, op9_simhash_groups, op10_flac_media)}
 
 
 def oracle_sql() -> dict[str, str]:
