@@ -18,8 +18,8 @@ class ChunkConfig:
     min_block_words: int = 0
     min_block_chars: int = 0
     overlap_sentences: int = 1
-    max_pipe_share: float = 0.2
-    max_dash_share: float = 0.2
+    max_pipe_share: float = 0.05
+    max_dash_share: float = 0.05
     keep_labels: tuple[str, ...] = ("en",)
     min_label_score: float = 0.5
     dedup: bool = True

@@ -9,10 +9,15 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 
-# Lines that are furniture, whatever the page.
+# Lines that are furniture wherever one of these is found, and the two quality profiles.
 BOILERPLATE = (
-    r"(?i)^\s*page\s+\d+(\s+of\s+\d+)?\s*$", r"^\s*\d+\s*$", r"(?i)^\s*(copyright|©)\b.*$", r"(?i)^\s*all rights reserved\.?\s*$", r"(?i)^\s*https?://\S+\s*$", r"(?i)^\s*(confidential|draft)\s*$",
-)
+    r"^\s*page\s+\d+\s*(of\s*\d+)?\s*$",
+    r"^\s*\d+\s*/\s*\d+\s*$",
+    r"\ball rights reserved\b",
+    r"\bconfidential\b",
+    r"\bdo not distribute\b",
+    r"\bprinted on\b",
+)
 
 
 @dataclass(frozen=True)
@@ -25,8 +30,9 @@ class Profile:
     min_unique: float
 
 
-STRICT = Profile(60, 10, 0.55, 0.30, 0.30, 0.35)
-RELAXED = Profile(30, 5, 0.40, 0.45, 0.40, 0.20)
+STRICT = Profile(70, 12, 0.55, 0.35, 0.40, 0.25)
+RELAXED = Profile(45, 8, 0.48, 0.45, 0.50, 0.18)
+TOKEN = "[A-Za-z0-9']+"
 
 
 def line_key(line: Column) -> Column:
@@ -36,7 +42,7 @@ def line_key(line: Column) -> Column:
 def is_boilerplate(line: Column) -> Column:
     matches = F.lit(False)
     for pattern in BOILERPLATE:
-        matches = matches | line.rlike(pattern)
+        matches = matches | F.lower(line).rlike(pattern)
     pipes = F.char_length(line) - F.char_length(F.replace(line, F.lit("|"), F.lit("")))
     return ((F.char_length(line) <= 180) & matches) | ((F.char_length(line) < 120) & (pipes >= 3))
 
@@ -71,12 +77,11 @@ def join_lines(found: Column, enough: int = 420) -> Column:
 
 
 def passes(chunk: Column, profile: Profile) -> Column:
-    solid = F.regexp_replace(chunk, T.SPACE, "")
-    size = F.greatest(F.char_length(solid), F.lit(1)).cast("double")
-    share = lambda keep: F.char_length(F.regexp_replace(solid, keep, "")) / size
-    tokens = F.regexp_extract_all(F.lower(chunk), F.lit("[a-z0-9']+"), F.lit(0))
+    solid = F.greatest(F.char_length(F.regexp_replace(chunk, T.SPACE, "")), F.lit(1)).cast("double")
+    share = lambda others: F.char_length(F.regexp_replace(chunk, others, "")) / solid
+    tokens = F.regexp_extract_all(F.lower(chunk), F.lit(TOKEN), F.lit(0))
     unique = F.size(F.array_distinct(tokens)) / F.greatest(F.size(tokens), F.lit(1)).cast("double")
-    fits = (F.char_length(chunk) >= profile.min_chars) & (F.size(tokens) >= profile.min_words) & (share(r"(?U)[^\p{L}]") >= profile.min_alpha) & (share("[^0-9]") <= profile.max_digit) & (share(r"(?U)[\p{L}\p{N}]") <= profile.max_punctuation)
+    fits = (F.char_length(chunk) >= profile.min_chars) & (F.size(tokens) >= profile.min_words) & (share(r"[^\p{L}]") >= profile.min_alpha) & (share(r"[^\p{Nd}]") <= profile.max_digit) & (share(r"[^!-/:-@\[-`{-~]") <= profile.max_punctuation)
     return fits & ((F.size(tokens) < 18) | (unique >= profile.min_unique))
 
 
@@ -85,10 +90,13 @@ def document_text(rows: DataFrame, profile: Profile = STRICT, min_chars: int = 1
     marked = drop_repeated(rows)
     gathered = marked.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.when(F.col("drop").isNull(), F.struct("page", "line_no", "line")))).alias("kept"), F.count(F.lit(1)).alias("n_lines"), F.count("drop").alias("n_dropped"))
     made = gathered.withColumn("chunks", join_lines(F.transform("kept", lambda x: x["line"])))
-    good = F.array_distinct(F.filter("chunks", lambda c: passes(c, profile)))
+    passed = F.filter("chunks", lambda c: passes(c, profile))
+    # the first chunk of each key stays
+    keys = F.transform(passed, line_key)
+    good = F.filter(passed, lambda c, i: F.array_position(keys, F.try_element_at(keys, i + 1)) == i + 1)
     text = F.array_join(good, "\n\n")
     done = made.select("doc_id", text.alias("text"), "n_lines", "n_dropped", F.size("chunks").alias("n_chunks"), F.size(good).alias("n_kept"))
-    return done.withColumn("ok", (F.char_length("text") >= min_chars) & (T.word_count(F.col("text")) >= min_words))
+    return done.withColumn("ok", (F.char_length("text") >= min_chars) & (F.size(F.regexp_extract_all("text", F.lit(TOKEN), F.lit(0))) >= min_words))
 
 
 def cascade(rows: DataFrame) -> DataFrame:
@@ -105,7 +113,7 @@ def cascade(rows: DataFrame) -> DataFrame:
 
 def low_signal(pages: DataFrame) -> DataFrame:
     """(doc_id, low_signal): under 30 words or 180 characters in all pages."""
-    return pages.groupBy("doc_id").agg(((F.sum(T.word_count(F.col("text"))) < 30) | (F.sum(T.char_count(F.trim("text"))) < 180)).alias("low_signal"))
+    return pages.groupBy("doc_id").agg(((F.sum(F.size(F.regexp_extract_all("text", F.lit(TOKEN), F.lit(0)))) < 30) | (F.sum(T.char_count(F.col("text"))) < 180)).alias("low_signal"))
 
 
 def page_window(pages: DataFrame, max_pages: int | None) -> DataFrame:

@@ -7,6 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Upper bounds of the histograms of words in documents, blocks and chunks.
+DOCUMENT_WORDS = (100, 250, 500, 1000, 2000, 4000, 8000)
+BLOCK_WORDS = (20, 40, 80, 120, 150, 200, 300)
+CHUNK_WORDS = (50, 100, 150, 200, 300, 400, 600)
+
 
 def lengths(rows: DataFrame, **columns: Column) -> DataFrame:
     """(name, count, total, avg, min, max) of each numeric column in one pass; avg is 0 and min and max null if empty."""
@@ -16,10 +21,10 @@ def lengths(rows: DataFrame, **columns: Column) -> DataFrame:
 
 def histogram_key(value: Column, bounds: Sequence[int]) -> Column:
     """Label of the first bound that is not exceeded, or the overflow."""
-    out = F.when(value <= bounds[0], f"<={bounds[0]}")
+    out = F.when(value <= bounds[0], f"<= {bounds[0]}")
     for b in bounds[1:]:
-        out = out.when(value <= b, f"<={b}")
-    return out.otherwise(f">{bounds[-1]}")
+        out = out.when(value <= b, f"<= {b}")
+    return out.otherwise(f"> {bounds[-1]}")
 
 
 def histogram(rows: DataFrame, value: Column, bounds: Sequence[int]) -> DataFrame:

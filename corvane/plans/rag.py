@@ -11,10 +11,11 @@ from ..functions import text as T
 from ..operators import classify
 from . import bm25, dense, fusion
 
-MODES = ("hybrid", "dense", "sparse", "none")
-CONTEXT = "[{rank}] {title} ({url})\n{text}"
-PROMPT = "Context:\n{context}\n\nQuestion: {question}\nAnswer:"
-NO_CONTEXT = "No context."
+# Modes and templates.
+MODES = ("dense", "sparse", "hybrid", "closed_book")
+CONTEXT = "[{rank}] (title: {title}; source: {url})\n{passage}"
+PROMPT = "Question: {question}\n\nContext passages:\n{context_passages}\n\nAnswer:"
+NO_CONTEXT = "[No retrieved context]"
 
 
 def search(questions: DataFrame, k: int, mode: str, sparse_index: bm25.Bm25Index | None = None, corpus: DataFrame | None = None, vectors: DataFrame | None = None, fusion_k: int | None = None, rrf_k: int = 60, weights: tuple[float, float] = (1.0, 1.0)) -> DataFrame:
@@ -22,7 +23,7 @@ def search(questions: DataFrame, k: int, mode: str, sparse_index: bm25.Bm25Index
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
     asked = questions.where("trim(text) != ''")
-    if mode == "none":
+    if mode == "closed_book":
         return questions.sparkSession.createDataFrame([], "query_id long, row_id long, score double, rank int")
     if mode == "sparse":
         return bm25.search(sparse_index, asked, k)
@@ -37,7 +38,9 @@ def search(questions: DataFrame, k: int, mode: str, sparse_index: bm25.Bm25Index
 def contexts(found: DataFrame, store: DataFrame, template: str = CONTEXT) -> DataFrame:
     """(query_id, context, passages): passages joined by blank lines, in order of rank. store: row_id, text, title, url."""
     rows = found.join(store, "row_id", "left")
-    entry = T.fill(template, rank=F.col("rank").cast("string"), title=F.coalesce(F.nullif(F.trim("title"), F.lit("")), F.lit("Untitled")), url=F.coalesce("url", F.lit("unknown")), text=F.trim(F.coalesce("text", F.lit(""))), score=F.coalesce("score", F.lit(0.0)).cast("string"))
+    text, place = F.trim(F.coalesce("text", F.lit(""))), F.coalesce(F.nullif(F.trim("url"), F.lit("")), F.lit("unknown"))
+    title = F.coalesce(F.nullif(F.trim("title"), F.lit("")), F.lit("Untitled"))
+    entry = T.fill(template, rank=F.col("rank").cast("string"), title=title, url=place, source=place, passage=text, text=text, chunk_uid=F.col("row_id").cast("string"), score=F.coalesce("score", F.lit(0.0)).cast("string"))
     listed = F.array_sort(F.collect_list(F.struct("rank", entry.alias("entry"), F.coalesce("text", F.lit("")).alias("text"))))
     return rows.groupBy("query_id").agg(listed.alias("x")).select("query_id", F.array_join(F.transform("x", lambda e: e["entry"]), "\n\n").alias("context"), F.transform("x", lambda e: e["text"]).alias("passages"))
 
@@ -46,7 +49,7 @@ def prompts(questions: DataFrame, found: DataFrame, store: DataFrame, template:
     """(query_id, prompt, passages) of every question; those without a passage get the placeholder."""
     joined = questions.join(contexts(found, store), "query_id", "left")
     context = F.coalesce(F.nullif(F.col("context"), F.lit("")), F.lit(NO_CONTEXT))
-    return joined.select("query_id", T.fill(template, context=context, question=F.col("text")).alias("prompt"), "passages")
+    return joined.select("query_id", T.fill(template, context_passages=context, question=F.col("text")).alias("prompt"), "passages")
 
 
 def answer(questions: DataFrame, found: DataFrame, store: DataFrame, generator: Callable[[str, list[str]], str] = classify.first_sentence) -> DataFrame:

@@ -97,8 +97,8 @@ folded AS (SELECT doc_id, list_reduce(l, lambda a, x: CASE
 packed AS (SELECT doc_id, list_concat(f.b, CASE WHEN len(f.c) > 0 THEN [array_to_string(f.c, ' ')] ELSE CAST([] AS VARCHAR[]) END) AS blocks FROM folded),
 blocks AS (SELECT doc_id, unnest(blocks) AS text, unnest(range(len(blocks))) AS block_id FROM packed),
 judged AS (SELECT *, CASE WHEN trim(text) = '' THEN 'empty_block'
-    WHEN len(list_filter(string_split(text, ' '), lambda w: w = '|')) / len(string_split(text, ' ')) > 0.2 THEN 'pipe'
-    WHEN len(list_filter(string_split(text, ' '), lambda w: regexp_full_match(w, '-+'))) / len(string_split(text, ' ')) > 0.2 THEN 'dash'
+    WHEN len(list_filter(string_split(text, ' '), lambda w: w = '|')) / len(string_split(text, ' ')) > 0.05 THEN 'pipe'
+    WHEN len(list_filter(string_split(text, ' '), lambda w: regexp_full_match(w, '-+'))) / len(string_split(text, ' ')) > 0.05 THEN 'dash'
     WHEN d.lang <> 'en' THEN 'label:' || d.lang END AS reason FROM blocks JOIN documents d USING (doc_id)),
 judged2 AS (SELECT doc_id, block_id, reason, b.text FROM judged JOIN blocks b USING (doc_id, block_id)),
 passed AS (SELECT doc_id, block_id, text, row_number() OVER (PARTITION BY sha1(lower(text)) ORDER BY doc_id, block_id) = 1 AS emitted FROM judged2 WHERE reason IS NULL),
@@ -164,9 +164,13 @@ def length_stats(spark, sf_dir):
     return stats.lengths(_docs(spark, sf_dir), chars=T.char_count(F.col("text")), words=T.word_count(F.col("text")))
 
 
-@query("SELECT CASE WHEN length(text) <= 250 THEN '<=250' WHEN length(text) <= 1000 THEN '<=1000' WHEN length(text) <= 4000 THEN '<=4000' WHEN length(text) <= 16000 THEN '<=16000' ELSE '>16000' END AS bucket, count(*) AS n FROM documents GROUP BY 1")
+_WORDS = r"len(list_filter(regexp_split_to_array(text, '\s+'), lambda w: w <> ''))"
+_BUCKETS = " ".join(f"WHEN w <= {b} THEN '<= {b}'" for b in stats.DOCUMENT_WORDS)
+
+
+@query(f"SELECT CASE {_BUCKETS} ELSE '> {stats.DOCUMENT_WORDS[-1]}' END AS bucket, count(*) AS n FROM (SELECT {_WORDS} AS w FROM documents) GROUP BY 1")
 def length_histogram(spark, sf_dir):
-    return stats.histogram(_docs(spark, sf_dir), T.char_count(F.col("text")), (250, 1000, 4000, 16000))
+    return stats.histogram(_docs(spark, sf_dir), T.word_count(F.col("text")), stats.DOCUMENT_WORDS)
 
 
 @query("SELECT stage, domain, count(*) AS n FROM (SELECT lang AS stage, coalesce(nullif(lower(trim(source)), ''), 'unknown') AS domain FROM documents) GROUP BY GROUPING SETS ((stage), (domain), (stage, domain))")
@@ -299,7 +303,7 @@ _PDF_PAGES = "SELECT doc_id // 10 AS pdf, doc_id % 10 AS page, text FROM documen
 
 @query(rf"""WITH pages AS ({_PDF_PAGES}), lines AS (SELECT pdf, page, trim(regexp_replace(u.line, '\s+', ' ', 'g')) AS line FROM pages, unnest(string_split(text, chr(10))) AS u(line)),
 keyed AS (SELECT *, trim(regexp_replace(lower(line), '[^\p{{L}}\p{{N}}_]+', ' ', 'g')) AS key,
-  (length(line) <= 180 AND (regexp_matches(line, '(?i)^\s*page\s+\d+(\s+of\s+\d+)?\s*$') OR regexp_matches(line, '^\s*\d+\s*$') OR regexp_matches(line, '(?i)^\s*all rights reserved\.?\s*$') OR regexp_matches(line, '(?i)^\s*https?://\S+\s*$') OR regexp_matches(line, '(?i)^\s*copyright\b') OR regexp_matches(line, '(?i)^\s*(confidential|draft)\s*$')))
+  (length(line) <= 180 AND (regexp_matches(lower(line), '^\s*page\s+\d+\s*(of\s*\d+)?\s*$') OR regexp_matches(lower(line), '^\s*\d+\s*/\s*\d+\s*$') OR regexp_matches(lower(line), '\b(all rights reserved|confidential|do not distribute|printed on)\b')))
   OR (length(line) < 120 AND length(line) - length(replace(line, '|', '')) >= 3) AS furniture FROM lines WHERE line <> ''),
 freq AS (SELECT pdf, key, count(DISTINCT page) AS n FROM keyed WHERE NOT furniture AND key <> '' GROUP BY ALL), total AS (SELECT pdf, count(DISTINCT page) AS pages FROM keyed GROUP BY 1)
 SELECT pdf, count(*) AS n_lines, count(*) FILTER (furniture) AS n_boilerplate, count(*) FILTER (NOT furniture AND n >= greatest(2, floor(pages * 0.6)) AND length(line) <= 120) AS n_repeated FROM keyed LEFT JOIN freq USING (pdf, key) JOIN total USING (pdf) GROUP BY 1""")
@@ -456,7 +460,7 @@ def hybrid_rrf_weighted(spark, sf_dir):
 # prompts, answers, models
 
 
-@query("SELECT conv_id, string_agg('[' || (turn + 1) || '] ' || role || ' (unknown)' || chr(10) || trim(text), chr(10) || chr(10) ORDER BY turn) AS context FROM conversations GROUP BY 1")
+@query("SELECT conv_id, string_agg('[' || (turn + 1) || '] (title: ' || role || '; source: unknown)' || chr(10) || trim(text), chr(10) || chr(10) ORDER BY turn) AS context FROM conversations GROUP BY 1")
 def prompt_context(spark, sf_dir):
     turns = table(spark, sf_dir, "conversations")
     found = turns.select(F.col("conv_id").alias("query_id"), F.concat_ws("-", "conv_id", "turn").alias("row_id"), (F.col("turn") + 1).alias("rank"), F.lit(0.0).alias("score"))

@@ -126,7 +126,7 @@ def test_stats(spark):
     empty = spark.createDataFrame([], "v int")
     assert [tuple(r) for r in stats.lengths(empty, v=F.col("v")).collect()] == [("v", 0, 0, 0.0, None, None)]
     rows = spark.createDataFrame([(100,), (101,), (501,)], "v int")
-    assert {r.bucket: r.n for r in stats.histogram(rows, F.col("v"), (100, 500)).collect()} == {"<=100": 1, "<=500": 1, ">500": 1}
+    assert {r.bucket: r.n for r in stats.histogram(rows, F.col("v"), (100, 500)).collect()} == {"<= 100": 1, "<= 500": 1, "> 500": 1}
     assert [r[0] for r in spark.createDataFrame([("A: b",), ("none",)], "m string").select(stats.error_type(F.col("m"))).collect()] == ["A", None]
 
 
@@ -159,7 +159,7 @@ def test_rag(spark):
     questions = spark.createDataFrame([(1, "alpha?"), (2, "zzz")], "query_id long, text string")
     found = rag.search(questions, 1, "sparse", bm25.build(store))
     prompts = {r.query_id: r.prompt for r in rag.prompts(questions, found, store).collect()}
-    assert prompts[1].startswith("Context:\n[1] Untitled (unknown)\nAlpha") and rag.NO_CONTEXT in prompts[2]
+    assert prompts[1].startswith("Question: alpha?\n\nContext passages:\n[1] (title: Untitled; source: unknown)\nAlpha") and rag.NO_CONTEXT in prompts[2]
     assert {r.query_id: r.answer for r in rag.answer(questions, found, store).collect()} == {1: "Alpha is first", 2: ""}
     with pytest.raises(ValueError):
         rag.search(questions, 1, "other")
