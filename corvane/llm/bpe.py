@@ -17,10 +17,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from .common import over_batches, texts
-from .memo import LETTERS, Memo, Units, lettered
+from .memo import LETTERS, Memo, Units, lettered, pre_tokens
 
 #: Written in front of the vocabulary; sentencepiece asks for one unknown piece.
 UNKNOWN = "⁇unknown"
+#: Entries of each memo's generation.
+KEPT = 200_000
 
 
 def read_ranks(path: str) -> list[bytes]:
@@ -72,23 +74,22 @@ class ByteBPE:
         self.rank = {token: rank for rank, token in enumerate(self.tokens)}
         self.processor = sentencepiece.SentencePieceProcessor(model_proto=serialise(self.tokens))
         self.words = regex.compile(pattern).findall
-        self.pieces = Memo(self._piece)
-        self.units = Units(self._unit)
+        self.pieces = Memo(self._piece, KEPT)
+        self.units = Units(self._unit, KEPT)
         inverse = {letter: b for b, letter in enumerate(LETTERS)}
         back = [bytes(inverse[c] for c in self.processor.id_to_piece(i + 1)) for i in range(len(self.tokens))]
         self.lengths = np.array([len(x) for x in back], np.int64)
         self.offsets = np.concatenate([[0], np.cumsum(self.lengths)[:-1]])
         self.flat = np.frombuffer(b"".join(back), np.uint8)
 
-    def _piece(self, word: str) -> tuple[int, ...]:
+    def _piece(self, word: str) -> tuple[bytes, str]:
         whole = self.rank.get(word.encode())
-        if whole is not None:
-            return (whole,)
-        return tuple(i - 1 for i in self.processor.encode(lettered(word)))
+        ids = [whole] if whole is not None else [i - 1 for i in self.processor.encode(lettered(word))]
+        return struct.pack(f"<{len(ids)}I", *ids), " ".join(map(str, ids))
 
     def _unit(self, unit: str) -> tuple[bytes, str]:
-        ids = [i for word in self.words(unit) for i in self.pieces[word]]
-        return struct.pack(f"<{len(ids)}I", *ids), " ".join(map(str, ids))
+        found = [self.pieces[word] for word in pre_tokens(unit, self.words)]
+        return found[0] if len(found) == 1 else (b"".join([x[0] for x in found]), " ".join([x[1] for x in found]))
 
     def encode(self, text: str) -> tuple[bytes, str]:
         """Ids as little-endian 32-bit integers, and as decimals joined by a space."""

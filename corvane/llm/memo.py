@@ -7,14 +7,14 @@ from collections.abc import Callable
 
 #: A space before a character that no regex engine calls white space always starts a pre-token.
 CUT = re.compile(r" (?=\S)")
-#: Units kept in each of two generations; older ones are encoded anew when they return.
-UNITS = 200_000
+#: A space that is no such cut.
+_NO_CUT = re.compile(r" (?!\S)")
 
 
 class Memo(dict):
     """Computes missing values; keeps the last two generations of at most `limit` entries."""
 
-    def __init__(self, compute: Callable, limit: int = UNITS, longest: int = 200):
+    def __init__(self, compute: Callable, limit: int, longest: int = 200):
         super().__init__()
         self.compute, self.limit, self.longest, self.old = compute, limit, longest, {}
 
@@ -44,20 +44,32 @@ _TO = {b: c for b, c in enumerate(LETTERS)}
 
 def lettered(text: str) -> str:
     """UTF-8 bytes of the text, each as its letter."""
+    if text.isascii() and text.lstrip(" ").isalpha():
+        return text.replace(" ", LETTERS[32])
     return text.encode("utf-8", "surrogatepass").decode("latin-1").translate(_TO)
 
 
+def pre_tokens(unit: str, pattern: Callable[[str], list[str]]) -> list[str]:
+    """The pattern's matches in a unit; words with or without a closing mark need no search."""
+    body = unit[1:] if unit[0] == " " else unit
+    if body.isalpha():
+        return [unit]
+    if body[-1:] in (".", ",") and body[:-1].isalpha():
+        return [unit[:-1], unit[-1]]
+    return pattern(unit)
+
+
 class Units:
     """Values of a text's units, in order; compute gets a unit with its leading space."""
 
-    def __init__(self, compute: Callable[[str], object], limit: int = UNITS):
+    def __init__(self, compute: Callable[[str], object], limit: int):
         self.first = Memo(compute, limit)
         self.later = Memo(lambda unit: compute(" " + unit), limit)
 
     def of(self, text: str) -> list:
         if not text:
             return []
-        first, *rest = CUT.split(text)
+        first, *rest = CUT.split(text) if _NO_CUT.search(text) else text.split(" ")
         out = list(map(self.later.__getitem__, rest))
         if first:
             out.insert(0, self.first[first])

@@ -24,10 +24,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import bounded_batches, over_batches, stored, texts
-from .memo import Memo, Units, lettered
+from .memo import Memo, Units, lettered, pre_tokens
 
 BLOCK_IDS = 1 << 18
 MAGIC = b"IDP1"
+#: Entries of each memo's generation.
+KEPT = 200_000
 _HEAD = struct.Struct("<4sBBIQ")
 
 
@@ -82,8 +84,12 @@ class LibraryBPE:
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.words = regex.compile(pattern).findall
-        self.pieces = Memo(lambda word: [x.id for x in self.model.tokenize(lettered(word))])
-        self.units = Units(lambda unit: np.array([i for word in self.words(unit) for i in self.pieces[word]], "<u4").tobytes())
+        self.pieces = Memo(self._piece, KEPT)
+        self.units = Units(lambda unit: b"".join([self.pieces[word] for word in pre_tokens(unit, self.words)]), KEPT)
+
+    def _piece(self, word: str) -> bytes:
+        ids = [x.id for x in self.model.tokenize(lettered(word))]
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def encode(self, text: str) -> bytes:
         return b"".join(self.units.of(text))
@@ -123,7 +129,7 @@ def write_planes(docs: DataFrame, tokenizer_path: str, pattern: str, end_id: int
         if held:
             yield flush()
 
-    ranged = texts(docs).repartitionByRange("doc_id", "text").sortWithinPartitions("doc_id", "text")
+    ranged = texts(docs).repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
     return stored(ranged.mapInArrow(run, "shard int, block int, n_docs long, n_ids long, doc_ids binary, data binary"), "planes")
 
 
