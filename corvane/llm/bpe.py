@@ -21,8 +21,8 @@ from .memo import LETTERS, Memo, Units, lettered, pre_tokens
 
 #: Written in front of the vocabulary; sentencepiece asks for one unknown piece.
 UNKNOWN = "⁇unknown"
-#: Entries of each memo's generation.
-KEPT = 200_000
+#: Entries of each memo's generation; memos are emptied when a task ends, as the worker may serve another stage next.
+KEPT = 100_000
 
 
 def read_ranks(path: str) -> list[bytes]:
@@ -91,6 +91,11 @@ class ByteBPE:
         found = [self.pieces[word] for word in pre_tokens(unit, self.words)]
         return found[0] if len(found) == 1 else (b"".join([x[0] for x in found]), " ".join([x[1] for x in found]))
 
+    def forget(self) -> None:
+        for memo in (self.pieces, self.units.first, self.units.later):
+            memo.clear()
+            memo.old = {}
+
     def encode(self, text: str) -> tuple[bytes, str]:
         """Ids as little-endian 32-bit integers, and as decimals joined by a space."""
         found = self.units.of(text)
@@ -125,7 +130,7 @@ def encode_decode(docs: DataFrame, rank_path: str, pattern: str) -> DataFrame:
         decoded = [every[a:b] for a, b in zip(stops, stops[1:], strict=False)]
         return pa.RecordBatch.from_arrays([batch.column(0), pa.array([x[0] for x in coded], pa.binary()), pa.array([x[1] for x in coded], pa.string()), pa.array(decoded, pa.binary())], ["doc_id", "ids", "ids_text", "decoded"])
 
-    return over_batches(texts(docs), run, "doc_id long, ids binary, ids_text string, decoded binary")
+    return over_batches(texts(docs), run, "doc_id long, ids binary, ids_text string, decoded binary", lambda: codec(rank_path, pattern).forget())
 
 
 def digests(docs: DataFrame, rank_path: str, pattern: str) -> DataFrame:
@@ -141,4 +146,4 @@ def digests(docs: DataFrame, rank_path: str, pattern: str) -> DataFrame:
         back = [hashlib.sha256(every[a:b]).hexdigest() for a, b in zip(stops, stops[1:], strict=False)]
         return pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes), pa.array(sha), pa.array(back)], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    return over_batches(texts(docs), run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return over_batches(texts(docs), run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string", lambda: codec(rank_path, pattern).forget())

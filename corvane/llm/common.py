@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Limits of one Arrow batch handed to Python; a batch always holds at least one row.
-BATCH_ROWS = 2048
-BATCH_BYTES = 8 << 20
+BATCH_ROWS = 1024
+BATCH_BYTES = 4 << 20
 
 
 def scratch(spark: SparkSession) -> str:
@@ -48,8 +48,8 @@ def texts(docs: DataFrame) -> DataFrame:
     return docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
 
 
-def over_batches(df: DataFrame, f: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
-    """mapInArrow with a function of one batch."""
+def over_batches(df: DataFrame, f: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str, done: Callable[[], None] | None = None) -> DataFrame:
+    """mapInArrow with a function of one batch; done is called at the end of a task."""
     bounded_batches(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -58,6 +58,8 @@ def over_batches(df: DataFrame, f: Callable[[pa.RecordBatch], pa.RecordBatch | N
                 out = f(batch)
                 if out is not None and out.num_rows:
                     yield out
+        if done:
+            done()
 
     return df.mapInArrow(run, schema)
 

@@ -23,6 +23,8 @@ from .common import bounded_batches, over_batches
 SLOTS = 1 << 16
 ORDERS = (1, 2, 3, 4)
 SWITCH = 6.0
+#: Distinct words whose n-grams are held at once.
+PIECE = 1 << 15
 #: Evidence of one word is at most this many nats.
 MOST = 8.0
 #: First code points of script ranges, and the script from there on (0: none).
@@ -99,6 +101,9 @@ class Model:
         """Evidence for each language of each word (at most 0), and the word's letters."""
         n, letters = len(words), np.zeros(0, np.int64)
         out = np.zeros((n, len(self.langs)), np.float32)
+        if n > PIECE:
+            parts = [self.scores(words.slice(a, PIECE)) for a in range(0, n, PIECE)]
+            return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
         if n:
             letters, script = scripts_of(words)
             owner, slot = ngrams(words)
@@ -124,10 +129,14 @@ def learn(labelled: DataFrame) -> Model:
         for lang in sorted(set(langs)):
             words = split(batch.column(0).filter(pa.array(langs == lang)))
             times = np.bincount(words.ids, minlength=len(words.distinct)).astype(float)
+            total = np.zeros(SLOTS + N_SCRIPTS)
+            for a in range(0, len(times), PIECE):
+                piece, n = words.distinct.slice(a, PIECE), times[a : a + PIECE]
+                owner, slot = ngrams(piece)
+                letters, script = scripts_of(piece)
+                total += np.concatenate([np.bincount(slot, n[owner], SLOTS), np.bincount(script, n * (letters > 0), N_SCRIPTS)])
             if len(times):
-                owner, slot = ngrams(words.distinct)
-                letters, script = scripts_of(words.distinct)
-                rows.append((lang, np.concatenate([np.bincount(slot, times[owner], SLOTS), np.bincount(script, times * (letters > 0), N_SCRIPTS)]).astype("<f4").tobytes()))
+                rows.append((lang, total.astype("<f4").tobytes()))
         return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.binary())], ["lang", "counts"])
 
     def merge(batches):

@@ -28,7 +28,7 @@ from .components import components
 #: Fingerprints in one chunk of a bucket.
 CHUNK = 2048
 #: Comparisons of one fingerprint with up to 64 others made side by side.
-LANES = 1 << 16
+LANES = 1 << 15
 
 
 def shingle_hashes(text: str, words_in_shingle: int) -> list[int]:
