@@ -29,7 +29,7 @@ from .memo import Memo, Units, lettered, pre_tokens
 BLOCK_IDS = 1 << 18
 MAGIC = b"IDP1"
 #: Entries of each memo's generation.
-KEPT = 200_000
+KEPT = 300_000
 _HEAD = struct.Struct("<4sBBIQ")
 
 
