@@ -1,12 +1,11 @@
 """SimHash near-duplicate groups with bit-sliced comparison.
 
 Candidates share a key, a choice of fingerprint bits. `exact_bands` cuts the bits into m blocks and takes every choice
-of m-r of them as a key: two fingerprints within radius r agree on one, so no link is lost. `sampled_bands` draws keys
-at random for wide fingerprints and radii where that many choices would not pay; their number follows from the wanted
-recall. Within a bucket, bit planes of the fingerprints stand vertically, 64 to a word: carry-save counters add the
-differing bits of many pairs at once, and words whose 64 candidates all exceed the radius are abandoned. Large buckets
-are cut into chunks whose pairs are spread over tasks. A task returns only a spanning star of what it linked, which
-loses no connection. Copies share a fingerprint and are compared once.
+of m-r of them as a key: two fingerprints within radius r agree on one, so no link is lost. Within a bucket, bit planes
+of the fingerprints stand vertically, 64 to a word: carry-save counters add the differing bits of many pairs at once,
+and words whose 64 candidates all exceed the radius are abandoned. Large buckets are cut into chunks whose pairs are
+spread over tasks. A task returns only a spanning star of what it linked, which loses no connection. Copies share a
+fingerprint and are compared once. The pipeline's `keep_one` goes by the similarity of whole shingle sets instead.
 
 Nulls and texts without words have fingerprint zero, linked like any other; repeated rows are kept; an empty table
 gives an empty result; extra columns are left behind (`keep_one` returns docs' own).
@@ -155,13 +154,6 @@ def exact_bands(radius: int, n: int, bits: int = 64) -> list[np.ndarray]:
     return [np.concatenate(chosen) for chosen in combinations(single, blocks - radius)]
 
 
-def sampled_bands(share: float, n: int, bits: int, recall: float = 0.99, seed: int = 11) -> list[np.ndarray]:
-    """Random keys that fingerprints with `share` of their bits in common share with probability `recall`."""
-    width = int(np.clip(np.ceil(np.log2(max(n, 2))) - 6, 12, 20))
-    rng = np.random.default_rng(seed)
-    return [rng.choice(bits, width, replace=False) for _ in range(int(np.ceil(np.log(1 - recall) / np.log(1 - share**width))))]
-
-
 def links(distinct: DataFrame, radius: int, bands: list[np.ndarray], chunk: int = CHUNK) -> DataFrame:
     """(u, v): edges between nodes that connect all fingerprints sharing a band and at most radius bits apart.
 
@@ -204,15 +196,12 @@ def links(distinct: DataFrame, radius: int, bands: list[np.ndarray], chunk: int
     return stored(over_batches(work, run, "u long, v long").distinct(), "links")
 
 
-def group(docs: DataFrame, words_in_shingle: int = 4, radius: int = 4, words: int = 1, recall: float | None = None) -> DataFrame:
-    """doc_id, fp, component_id (the smallest doc_id reachable over links) of every document.
-
-    recall: of pairs just at the radius, by sampled keys; None finds all pairs.
-    """
+def group(docs: DataFrame, words_in_shingle: int = 4, radius: int = 4, words: int = 1) -> DataFrame:
+    """doc_id, fp, component_id (the smallest doc_id reachable over links) of every document."""
     fps = stored(fingerprints(docs, words_in_shingle, words), "fingerprints")
     distinct = stored(fps.groupBy("fp").agg(F.min("doc_id").alias("node")), "fps")
     n = distinct.count()
-    edges = links(distinct, radius, exact_bands(radius, n, 64 * words) if recall is None else sampled_bands(1 - radius / (64 * words), n, 64 * words, recall))
+    edges = links(distinct, radius, exact_bands(radius, n, 64 * words))
     of = distinct.withColumnRenamed("node", "component_id")
     if edges.take(1):
         roots = components(edges, "fp-components")
@@ -220,11 +209,8 @@ def group(docs: DataFrame, words_in_shingle: int = 4, radius: int = 4, words: in
     return fps.join(of, "fp").select("doc_id", "fp", "component_id")
 
 
-#: Differing bits, of 256, of texts whose five-word shingles have a similarity of 0.8: 38 on average, 50 but for 2 in 100.
-WIDE, WIDE_RADIUS = 4, 50
-
-
-def keep_one(docs: DataFrame, words_in_shingle: int = 5, radius: int = WIDE_RADIUS, words: int = WIDE, recall: float | None = 0.98) -> DataFrame:
+def keep_one(docs: DataFrame) -> DataFrame:
     """docs without all but the document with the smallest doc_id of each group; rows with a null doc_id stay."""
-    found = group(docs.where("doc_id is not null"), words_in_shingle, radius, words, recall)
-    return docs.join(found.where("doc_id != component_id").select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+    from .jaccard import copies
+
+    return docs.join(copies(docs).select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)

@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from corvane.llm import bpe, components, decontam, flac, langid, license_scan, mixing, pii, planes, quality, queries, simhash
+from corvane.llm import bpe, components, decontam, flac, jaccard, langid, license_scan, mixing, pii, planes, quality, queries, simhash
 from corvane.llm.common import bucket, table
 
 DIR = "/root/testdata/sf0.001"
@@ -401,6 +401,41 @@ def test_keep_one_catches_near_copies(spark):
     assert set(range(40)) <= ids and len(ids & set(range(40, 60))) <= 1 and 60 not in ids and None in ids
 
 
+def near_texts(rng, n, changed):
+    """Texts of n words, and each again with so many words changed in one run, which spoils that many shingles and four."""
+    out = []
+    for _ in range(40):
+        w = [f"w{k}" for k in rng.integers(0, 10**6, n)]
+        out += [" ".join(w), " ".join([*w[:50], *(f"x{k}" for k in rng.integers(0, 10**6, changed)), *w[50 + changed :]])]
+    return out
+
+
+def test_keep_one_finds_every_copy_at_the_limit(spark):
+    # 180 shingles, 20 of them spoilt: 160 of 200 is just 0.8
+    texts = near_texts(np.random.default_rng(5), 184, 16)
+    assert {r.doc_id for r in simhash.keep_one(rows(spark, texts, ())).collect()} == set(range(0, 80, 2))
+
+
+def test_links_by_sets_equal_brute_force(spark):
+    # one large group whose members aren't all like its least one, and texts that share half of it
+    rng, texts = np.random.default_rng(6), []
+    base = [f"w{k}" for k in range(120)]
+    for k in range(60):
+        w = [*base]
+        for at in rng.choice(120, 1 + k % 5, replace=False):
+            w[at] = f"y{rng.integers(0, 10**6)}"
+        texts.append(" ".join(w[: 60 if k % 6 == 5 else 120] + [f"z{k}-{j}" for j in range(10 * (k % 6 == 5))]))
+    sets = [set(jaccard.shingles(t).tolist()) for t in texts]
+    root = list(range(60))
+    for b in range(60):
+        for a in range(b):
+            if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]) and root[a] != root[b]:
+                lo, hi = sorted((root[a], root[b]))
+                root = [lo if r == hi else r for r in root]
+    got = {r.doc_id: r.root for r in jaccard.copies(rows(spark, texts, ())).collect()}
+    assert [got.get(k, k) for k in range(60)] == root and 1 < len(set(root)) < 50
+
+
 # 10
 
 
