@@ -416,6 +416,12 @@ def test_keep_one_finds_every_copy_at_the_limit(spark):
     assert {r.doc_id for r in simhash.keep_one(rows(spark, texts, ())).collect()} == set(range(0, 80, 2))
 
 
+@pytest.mark.parametrize("changed", [17, 27, 46])
+def test_keep_one_leaves_texts_that_only_share_passages(spark, changed):
+    texts = near_texts(np.random.default_rng(changed), 184, changed)  # similarities of 0.79, 0.71 and 0.57
+    assert simhash.keep_one(rows(spark, texts, ())).count() == 80
+
+
 def test_links_by_sets_equal_brute_force(spark):
     # one large group whose members aren't all like its least one, and texts that share half of it
     rng, texts = np.random.default_rng(6), []
