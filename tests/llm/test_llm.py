@@ -72,6 +72,12 @@ def test_mixing_head_only_places_words(spark, docs):
     assert all(a[k].n_known == b[k].n_known and abs(a[k].base_score - b[k].base_score) < 1e-6 for k in a)
 
 
+def test_mixing_head_leaves_scores(spark, docs):
+    small = docs.limit(40)
+    a, b = (by_id(mixing.score(small, bucket("doc_id", 5) != 1, head=h)) for h in (4, 100_000))
+    assert all(abs(a[k].score - b[k].score) < 1e-4 * max(1, abs(b[k].score)) for k in a)
+
+
 def test_mixing_odd_rows(spark):
     odd = rows(spark)
     check_base(by_id(mixing.score(odd, F.col("doc_id") >= 0)), dict(enumerate(TEXTS)), lambda k: False)
