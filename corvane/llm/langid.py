@@ -3,13 +3,15 @@ them, and Viterbi with a switching penalty labels the words of mixed-language te
 
 The model is, for each learned language, the frequency of every hashed n-gram (1 to 4 bytes, word ends included) and
 of the scripts of its words, counted over all labelled documents given to `learn`; its size does not grow with them.
-A text's language is the one whose spans hold most letters, ties going to the first in order of name; the score is
-those spans' share. Null texts and texts without letters are `und` with score 0, and so is everything if no language
-was learned. Repeated rows count once each; extra columns are left behind; only the text is looked at.
+Letters are what Unicode calls so; in scripts without a name here all candidates stay open. A text's language is the
+one whose spans hold most letters, ties going to the first in order of name; the score is those spans' share. Null
+texts and texts without letters are `und` with score 0, and so is everything if no language was learned. Repeated rows
+count once each; extra columns are left behind; only the text is looked at.
 """
 
 from __future__ import annotations
 
+import sys
 from dataclasses import dataclass
 
 import numpy as np
@@ -27,16 +29,26 @@ SWITCH = 6.0
 PIECE = 1 << 15
 #: Evidence of one word is at most this many nats.
 MOST = 8.0
-#: First code points of script ranges, and the script from there on (0: none).
+#: First code points of script ranges, and the script from there on (0: none named; its letters are of script OTHER).
 SCRIPTS = (
     (0x41, 1), (0x5B, 0), (0x61, 1), (0x7B, 0), (0xAA, 1), (0xAB, 0), (0xB5, 1), (0xB6, 0), (0xBA, 1), (0xBB, 0), (0xC0, 1), (0xD7, 0), (0xD8, 1), (0xF7, 0), (0xF8, 1),
     (0x2B0, 0), (0x370, 2), (0x400, 3), (0x530, 4), (0x590, 5), (0x600, 6), (0x700, 0), (0x750, 6), (0x780, 0), (0x900, 7), (0x980, 8), (0xA00, 9), (0xA80, 10), (0xB00, 0),
     (0xB80, 11), (0xC00, 12), (0xC80, 13), (0xD00, 14), (0xD80, 0), (0xE00, 15), (0xE80, 0), (0x10A0, 16), (0x1100, 17), (0x1200, 18), (0x1380, 0), (0x1E00, 1), (0x1F00, 2),
     (0x2000, 0), (0x3040, 19), (0x3100, 0), (0x3130, 17), (0x3190, 0), (0x3400, 20), (0x4DC0, 0), (0x4E00, 20), (0xA000, 0), (0xAC00, 17), (0xD7B0, 0), (0xF900, 20), (0xFB00, 0), (0x20000, 20), (0x30000, 0),
 )
-N_SCRIPTS = 21
-_FROM = np.array([0] + [a for a, _ in SCRIPTS])
-_SCRIPT = np.array([0] + [s for _, s in SCRIPTS], np.int64)
+OTHER = 21
+N_SCRIPTS = 22
+
+
+def _script_table() -> np.ndarray:
+    """The script of every code point; 0 of all that are no letters in Unicode."""
+    codes = np.arange(sys.maxunicode + 1)
+    named = np.array([0] + [s for _, s in SCRIPTS], np.int8)[np.searchsorted([0] + [a for a, _ in SCRIPTS], codes, side="right") - 1]
+    letter = np.fromiter((chr(c).isalpha() for c in range(len(codes))), bool, len(codes))
+    return np.where(letter, np.where(named > 0, named, np.int8(OTHER)), np.int8(0))
+
+
+_SCRIPT = _script_table()
 
 
 @dataclass(frozen=True)
@@ -63,7 +75,7 @@ def scripts_of(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     n = len(words)
     codes = np.frombuffer("".join(words.to_pylist()).encode("utf-32-le", "surrogatepass"), "<u4")
     lengths = pc.utf8_length(words).to_numpy(zero_copy_only=False).astype(np.int64)
-    script = _SCRIPT[np.searchsorted(_FROM, codes, side="right") - 1]
+    script = _SCRIPT[codes].astype(np.int64)
     owner = np.repeat(np.arange(n), lengths)
     letters = np.bincount(owner, script > 0, n).astype(np.int64)
     last = np.zeros(n, np.int64)
@@ -160,7 +172,9 @@ def learn(labelled: DataFrame) -> Model:
     counts = np.stack([found[x][:SLOTS] for x in langs])
     scripts = np.stack([found[x][SLOTS:] for x in langs])
     weights = np.log((counts + 0.5) / (counts.sum(1, keepdims=True) + 0.5 * SLOTS)).astype(np.float32)
-    return Model(langs, weights, (scripts >= 0.001 * np.maximum(scripts.sum(1, keepdims=True), 1)).T)
+    allowed = (scripts >= 0.001 * np.maximum(scripts.sum(1, keepdims=True), 1)).T
+    allowed[OTHER] = True
+    return Model(langs, weights, allowed)
 
 
 def viterbi(scores: np.ndarray, counts: np.ndarray, penalty: float = SWITCH) -> np.ndarray:

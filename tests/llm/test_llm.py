@@ -118,6 +118,16 @@ def test_language(spark, docs):
     assert langid.identify(docs.where("false"), model).count() == 0
 
 
+def test_language_of_scripts_without_a_name(spark):
+    khmer, sinhala, english = "ខ្ញុំ ស្រឡាញ់ ភាសា ខ្មែរ", "මම සිංහල භාෂාව කතා කරමි", "the language of the people"
+    learned = spark.createDataFrame([(khmer, "km"), (sinhala, "si"), (english, "en")], "text string, lang string")
+    model = langid.learn(learned)
+    texts = [khmer, sinhala, english, "१२३ ៤៥ 12 !?", None, "ខ្មែរ"]
+    got = by_id(langid.identify(rows(spark, texts, ()), model))
+    assert [got[k].lang_pred for k in range(6)] == ["km", "si", "en", "und", "und", "km"] and got[0].score == 1 and got[3].score == 0
+    assert {r.doc_id for r in langid.keep_identified(rows(spark, texts, ()), model).collect()} == {0, 1, 2, 5}
+
+
 def test_viterbi_equals_brute_force():
     rng = np.random.default_rng(3)
     counts = np.array([4, 0, 1, 6])
