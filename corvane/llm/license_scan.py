@@ -1,8 +1,10 @@
 """Licence recognition by sentence rules: normalised sentences map to known identifiers, and ordered rules over the
 identifiers name the licences.
 
-A sentence ends at a line break or after . ! ? ; and white space; it is normalised to words of letters, digits, dots
-inside numbers and hyphens, in lower case. A rule is a licence and the identifiers it needs in order, with at most GAP
+A sentence ends at an empty line or after . ! ? ; and white space, and a known one may also end or begin at any line
+break, so wrapped sentences and notices on a line of their own are both found, the longest first. It is normalised to
+words of letters, digits, dots inside numbers and hyphens, in lower case; marks that lead comment lines are no words.
+Places are given in pieces, lines cut at the ends of sentences. A rule is a licence and the identifiers it needs in order, with at most GAP
 other sentences between two of them. Rules are tried from the longest to the shortest, ties in order of name; sentences
 that a rule used are not used again.
 
@@ -20,7 +22,8 @@ from .common import over_batches, texts
 
 #: Other sentences that may stand between two of a rule.
 GAP = 2
-_ENDS = re.compile(r"\n+|(?<=[.!?;])\s+")
+_ENDS = re.compile(r"(\n+|(?<=[.!?;])\s+)")
+_LEADER = re.compile(r"\s*(?:dnl|@?rem)\s", re.I)
 _WORDS = re.compile(r"[a-z0-9]+(?:[.-][a-z0-9]+)*")
 
 # Opening sentences of common licences, and the rules over them.
@@ -40,6 +43,8 @@ SENTENCES = {
     "gpl-free": "This program is free software;",
     "gpl-2-later": "you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.",
     "gpl-3-later": "you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    "gpl-2-whole": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 2 of the License, or (at your option) any later version.",
+    "gpl-3-whole": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
     "cc-by-4": "Licensed under CC BY 4.0.",
     "cc-by-sa-4": "Licensed under CC BY-SA 4.0.",
     "cc-by-nc-4": "Licensed under CC BY-NC 4.0.",
@@ -63,8 +68,10 @@ RULES = (
     ("CC-BY-SA-4.0", ("cc-by-sa-4",)),
     ("GPL-2.0-only", ("gpl-2-work",)),
     ("GPL-2.0-or-later", ("gpl-free", "gpl-2-later")),
+    ("GPL-2.0-or-later", ("gpl-2-whole",)),
     ("GPL-3.0-only", ("gpl-3-work",)),
     ("GPL-3.0-or-later", ("gpl-free", "gpl-3-later")),
+    ("GPL-3.0-or-later", ("gpl-3-whole",)),
     ("MIT", ("mit-grant", "mit-keep", "mit-as-is")),
     ("MIT", ("mit-grant", "mit-keep")),
     ("MIT", ("mit-licensed",)),
@@ -78,8 +85,16 @@ def normal(sentence: str) -> str:
     return " ".join(_WORDS.findall(sentence.lower()))
 
 
-def pieces(text: str) -> list[str]:
-    return [p for p in _ENDS.split(text) if p and not p.isspace()]
+def pieces(text: str) -> list[tuple[str, bool]]:
+    """Pieces, and whether the next one may go on with the sentence: only a line break stands between."""
+    cut = [*_ENDS.split(text), ""]
+    out: list[tuple[str, bool]] = []
+    for piece, end in zip(cut[::2], cut[1::2], strict=True):
+        if piece and not piece.isspace():
+            out.append((piece, end == "\n" and piece.rstrip()[-1] not in ".!?;"))
+        elif out:
+            out[-1] = (out[-1][0], False)
+    return out
 
 
 class Scanner:
@@ -91,40 +106,56 @@ class Scanner:
         self.parts: dict[str, list[str]] = {}
         for name, sentence in (sentences or SENTENCES).items():
             self.parts[name] = []
-            for piece in pieces(sentence):
+            for piece, _ in pieces(sentence):
                 self.known.setdefault(normal(piece), f"{name}/{len(self.parts[name])}")
                 self.parts[name].append(self.known[normal(piece)])
         self.rules = sorted(((licence, [x for s in needed for x in self.parts[s]]) for licence, needed in rules), key=lambda r: (-len(r[1]), r[0]))
-        self.starts = {k[:12] for k in self.known}
-        self.lengths = {len(k) for k in self.known}
+        self.begun = {" ".join(words[:k]) for words in map(str.split, self.known) for k in range(1, len(words) + 1)}
 
-    def identify(self, text: str) -> list[tuple[int, str]]:
-        """(sentence number, identifier) of the known sentences."""
+    def identify(self, text: str) -> list[tuple[int, int, int, str]]:
+        """(first piece, last piece, sentence number, identifier) of the known sentences."""
         out = []
-        for k, piece in enumerate(pieces(text)):
-            found = self.known.get(normal(piece))
+        cut = pieces(text)
+        k, number, inside = 0, 0, False
+        while k < len(cut):
+            words, last, found = normal(cut[k][0]), k, None
+            if words not in self.begun and _LEADER.match(cut[k][0]):
+                words = normal(_LEADER.sub("", cut[k][0], count=1))
+            while words in self.begun:
+                if words in self.known:
+                    found = (last, self.known[words])
+                more = normal(_LEADER.sub("", cut[last + 1][0], count=1)) if cut[last][1] else ""
+                if not more:
+                    break
+                words, last = f"{words} {more}", last + 1
             if found:
-                out.append((k, found))
+                number += inside
+                out.append((k, found[0], number, found[1]))
+                k, number, inside = found[0] + 1, number + 1, False
+            else:
+                inside = cut[k][1] and bool(words)
+                number += bool(words) and not inside
+                k += 1
         return out
 
-    def match(self, found: list[tuple[int, str]]) -> list[tuple[int, int, str]]:
-        """(first sentence, last sentence, licence), by place."""
+    def match(self, found: list[tuple[int, int, int, str]]) -> list[tuple[int, int, str]]:
+        """(first piece, last piece, licence), by place."""
         used: set[int] = set()
         out = []
         for licence, needed in self.rules:
-            for start, (_, name) in enumerate(found):
+            for start, (*_, name) in enumerate(found):
                 if start in used or name != needed[0]:
                     continue
                 chain = [start]
                 for want in needed[1:]:
-                    here = found[chain[-1]][0]
-                    after = next((j for j in range(chain[-1] + 1, len(found)) if j not in used and found[j][1] == want and found[j][0] - here <= self.gap + 1), None)
+                    here = found[chain[-1]][2]
+                    after = next((j for j in range(chain[-1] + 1, len(found)) if j not in used and found[j][3] == want and found[j][2] - here <= self.gap + 1), None)
                     if after is None:
                         break
                     chain.append(after)
                 if len(chain) == len(needed):
                     used.update(chain)
-                    out.append((found[chain[0]][0], found[chain[-1]][0], licence))
+                    out.append((found[chain[0]][0], found[chain[-1]][1], licence))
         return sorted(out)
 
 

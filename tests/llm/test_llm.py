@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import re
+import textwrap
 import zlib
 from collections import Counter
 from math import log10
@@ -224,6 +225,26 @@ def test_licences(spark, docs):
     assert license_scan.scan(docs.where("false")).count() == 0
 
 
+@pytest.mark.parametrize("lead", ["", " * ", "# ", "// ", "dnl "])
+def test_wrapped_licences(lead):
+    by = license_scan.Scanner()
+    say = license_scan.SENTENCES
+
+    def found(*paragraphs):
+        lines = [line for p in paragraphs for line in [*textwrap.wrap(p, 72), ""]]
+        text = "\n".join((lead + line).rstrip() for line in ["Copyright 2020 Some Body", "", *lines])
+        return {m[2] for m in by.match(by.identify(text))}
+
+    bsd = (say["bsd-grant"], "1. " + say["bsd-source"], "2. " + say["bsd-binary"])
+    assert found(say["mit-grant"], say["mit-keep"], say["mit-as-is"]) == {"MIT"}
+    assert found(*bsd) == {"BSD-2-Clause"} and found(*bsd, "3. " + say["bsd-name"]) == {"BSD-3-Clause"}
+    assert found(f"{say['gpl-free']} {say['gpl-2-later']}") == {"GPL-2.0-or-later"}
+    assert found(say["gpl-3-whole"]) == {"GPL-3.0-or-later"}
+    assert found(say["mpl-2"] + " If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.") == {"MPL-2.0"}
+    assert found("Some words that end nowhere") == set()
+    assert {m[2] for m in by.match(by.identify(f"a line\n{lead}{say['mit-notice']}\nanother"))} == {"MIT"}
+
+
 # 5
 
 
