@@ -397,7 +397,7 @@ def bm25_topk(spark, sf_dir):
 
 
 def _vectors(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
-    """Vectors scaled so that metrics differ, and every twenty-fifth as a query."""
+    """Vectors scaled so that metrics differ, and those with an id below 40 as queries."""
     rows = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("row_id"), F.transform("embedding", lambda x: x.cast("double") * (1 + F.col("vec_id") % 3)).alias("embedding"))
     asked = rows.where("row_id < 40").select(F.col("row_id").alias("query_id"), F.col("embedding").alias("vector"))
     return rows, asked
