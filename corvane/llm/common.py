@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -16,21 +17,29 @@ BATCH_BYTES = 4 << 20
 
 
 def scratch(spark: SparkSession) -> str:
-    """The shared folder named by spark.checkpoint.dir; a temporary one only where the session names none."""
+    """The shared folder named by spark.checkpoint.dir; a temporary one only where a local session names none."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not found:
         found = spark.sparkContext.getCheckpointDir()
     if not found:
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         found = tempfile.mkdtemp(prefix="corvane-")
         spark.sparkContext.setCheckpointDir(found)
     return found.rstrip("/")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write df to the shared folder and read it back: cuts lineage and survives the loss of any executor."""
-    path = f"{scratch(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+def stored(df: DataFrame, name: str, **options: str) -> DataFrame:
+    """Write df to the shared folder and read it back: cuts lineage and survives the loss of any executor.
+
+    The table is deleted when the driver ends. options: of Parquet's writer.
+    """
+    spark = df.sparkSession
+    path = f"{scratch(spark)}/{name}-{uuid.uuid4().hex}"
+    df.write.options(**options).parquet(path)
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def bounded_batches(spark: SparkSession) -> None:
@@ -39,6 +48,15 @@ def bounded_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
+def freed() -> None:
+    """Give what a task has freed back to the system: the worker process may idle beside others."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -60,6 +78,7 @@ def over_batches(df: DataFrame, f: Callable[[pa.RecordBatch], pa.RecordBatch | N
                     yield out
         if done:
             done()
+        freed()
 
     return df.mapInArrow(run, schema)
 
