@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, over_batches
+from .common import bounded_batches, freed, over_batches
 
 SLOTS = 1 << 16
 ORDERS = (1, 2, 3, 4)
@@ -183,11 +183,11 @@ def viterbi(scores: np.ndarray, counts: np.ndarray, penalty: float = SWITCH) ->
     counts, first = counts[order], (np.cumsum(counts) - counts)[order]
     longest, k = int(counts.max(initial=0)), scores.shape[1]
     active = np.searchsorted(-counts, -np.arange(longest), side="left")
-    label = np.zeros(len(scores), np.int8)
+    label = np.zeros(len(scores), np.int16)
     if not longest:
         return label
     stay = np.zeros((len(scores), k), bool)
-    best = np.zeros(len(scores), np.int8)
+    best = np.zeros(len(scores), np.int16)
     state = np.zeros((len(counts), k), np.float32)
     state[: active[0]] = scores[first[: active[0]]]
     for t in range(1, longest):
@@ -253,5 +253,6 @@ def keep_identified(docs: DataFrame, model: Model, least: float = 0.4) -> DataFr
                 weight = np.bincount(np.repeat(np.arange(n), words.counts) * k + label, letters[words.ids], n * k).reshape(n, k)
                 keep = (weight.sum(1) > 0) & (weight.max(1) >= least * weight.sum(1))
             yield batch.filter(pa.array(keep))
+        freed()
 
     return docs.mapInArrow(run, docs.schema)
