@@ -2,18 +2,22 @@
 
 Base spans (email, ip, card, phone) come from linear scans that find what the patterns in the docstrings match,
 leftmost and non-overlapping, each kind by itself. The tagger is trained from labelled spans that `examples` makes
-from templates: the four kinds in many spellings among words, versions, dates, keys and plain numbers. It reads windows
-of WINDOW characters that overlap by half; the windows that hold a digit, an at sign or a plus are read, since every
-span of these kinds holds one. Each character takes its tag from the window in whose middle it stands most, so the
-tags of a text are reconciled as a whole. Spans are added if they pass the kind's own test and touch no base span.
+from templates: the four kinds in many spellings (letters of any alphabet, "at" and "dot" in words, dots in brackets,
+numbers grouped in many ways) among words, versions, dates, keys and plain numbers. It reads windows of WINDOW
+characters that overlap by half; those that hold a digit, an at sign, a plus, or the word dot or at in brackets are
+read, since every spelling it learns holds one. The emissions of overlapping windows are blended by distance from their
+middles, and each run of windows is decoded once as a whole under the transitions. A span is added if its characters
+are surer on average than SURE, it makes sense for its kind (an at, four numbers up to 255, digits that pass Luhn, 9 to
+15 digits), and it touches no base span.
 
 Null and empty texts have no spans; repeated rows are kept; extra columns are left behind by `find` and kept by
-`redact`, whose null texts stay null.
+`redact`, whose null texts stay null and whose rows without a doc_id stay.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -22,11 +26,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, over_batches, texts
+from .common import bounded_batches, freed, over_batches, texts
 
 KINDS = ("email", "ip", "card", "phone")
 WINDOW = 64
-HIDDEN = 12
+HIDDEN = 20
+#: Mean difference of the emissions of a span's tags and of no span, at least.
+SURE = 1.0
+#: Windows decoded side by side; one text's stay together.
+TOGETHER = 4096
 SYMBOLS = 98  # printable ASCII, white space, other letters, the rest
 TAGS = 9  # outside, and first and further characters of each kind
 
@@ -37,7 +45,9 @@ _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _CHAIN = re.compile(r"[0-9]+(?:\.[0-9]+)*")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-_TRIGGER = re.compile(r"[0-9@+]")
+_TRIGGER = re.compile(r"[0-9@+]|\bdot\b|[(\[]at[)\]]", re.I)
+_AT = re.compile(r"@|\bat\b", re.I)
+_NUMBERS = re.compile(r"[0-9]+")
 _LOCAL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 
 
@@ -120,25 +130,32 @@ def symbols(text: str) -> np.ndarray:
 
 def _spelling(kind: int, rng: np.random.Generator, word) -> str:
     d = lambda n: "".join(map(str, rng.integers(0, 10, n)))
+    odd = rng.random() < 0.35
     if kind == 0:
-        local = str(rng.choice(["{a}", "{a}.{b}", "{a}.{n}", "{a}_{b}", "{a}{n}", "{a}+{b}"])).format(a=word(), b=word(), n=d(2))
-        return local + "@" + ".".join([word() + (d(1) if rng.random() < 0.3 else ""), *([word()] if rng.random() < 0.5 else []), str(rng.choice(["com", "org", "net", "de", "fr", "es"]))])
+        local = str(rng.choice(["{a}", "{a}.{b}", "{a}.{n}", "{a}_{b}", "{a}{n}", "{a}+{b}"])).format(a=word(odd), b=word(odd), n=d(2))
+        at, dot = [("@", "."), (" at ", " dot "), ("(at)", "."), (" [at] ", " [dot] "), (" (at) ", " (dot) "), (" at ", " dot ")][rng.integers(0, 6)] if odd else ("@", ".")
+        if at == " at ":  # names of one word only, else the words before would be drawn in
+            local = word(False)
+        return local + at + dot.join([word(odd) + (d(1) if rng.random() < 0.3 else ""), *([word(False)] if rng.random() < 0.5 else []), str(rng.choice(["com", "org", "net", "de", "fr", "es", "io", "edu"]))])
     if kind == 1:
-        return ".".join(str(x) for x in rng.integers(0, 256, 4))
+        return (str(rng.choice(["[.]", "(.)", " . "])) if odd else ".").join(str(x) for x in rng.integers(0, 256, 4))
     if kind == 2:
         n = int(rng.choice([13, 15, 16, 16, 16, 19]))
         body = str(rng.choice(["4", "5", "3", "6"])) + d(n - 2)
         digits = next(body + str(c) for c in range(10) if luhn(body + str(c)))
-        gap = str(rng.choice(["", "", " ", "-"]))
+        gap = str(rng.choice([".", "/", "  ", "_"])) if odd else str(rng.choice(["", "", " ", "-"]))
         return gap.join(digits[i : i + 4] for i in range(0, n, 4))
-    form = str(rng.choice(["+1 (AAA) AAA-AAAA", "+AA AAA AAAAAAA", "+AA (A) AAA AAAAAA", "(AAA) AAA-AAAA", "AAA-AAA-AAAA", "+AA.AAA.AAA.AAAA", "+AAAAAAAAAAA", "AAA.AAA.AAAA"]))
+    form = str(rng.choice(["+1 (AAA) AAA-AAAA", "+AA AAA AAAAAAA", "+AA (A) AAA AAAAAA", "(AAA) AAA-AAAA", "AAA-AAA-AAAA", "+AA.AAA.AAA.AAAA", "+AAAAAAAAAAA", "AAA.AAA.AAAA", "(0AA) AAAAAAAA", "0AA / AAAAAAA", "00AA AAA AAA AAA", "(AAA)AAA-AAAA"]))
     return re.sub("A", lambda _: d(1), form)
 
 
 def _other(rng: np.random.Generator, word) -> str:
     d = lambda n: "".join(map(str, rng.integers(0, 10, n)))
-    form = rng.integers(0, 8)
-    return [d(int(rng.integers(1, 9))), f"{d(1)}.{d(1)}", f"{d(1)}.{d(1)}.{d(1)}", f"20{d(2)}-{d(2)}-{d(2)}", f'"{rng.integers(0, 2**62):x}"', f"{d(2)}:{d(2)}", f"{word()}{d(3)}{word().upper()}{d(2)}", f"@{word()} + {word()}={d(2)}"][form]
+    forms = (
+        lambda: d(int(rng.integers(1, 13))), lambda: f"{d(1)}.{d(1)}", lambda: f"{d(1)}.{d(1)}.{d(1)}", lambda: f"20{d(2)}-{d(2)}-{d(2)}", lambda: f'"{rng.integers(0, 2**62):x}"', lambda: f"{d(2)}:{d(2)}",
+        lambda: f"{word()}{d(3)}{word().upper()}{d(2)}", lambda: f"@{word()} + {word()}={d(2)}", lambda: f"{word()} at {word()}", lambda: f"{word()} dot {word()}", lambda: f"{d(3)},{d(3)},{d(3)}", lambda: f"{d(2)}/{d(2)}/20{d(2)}", lambda: f"${d(4)}.{d(2)}",
+    )
+    return forms[rng.integers(0, len(forms))]()
 
 
 def examples(n: int, seed: int = 7) -> tuple[np.ndarray, np.ndarray]:
@@ -154,7 +171,7 @@ def examples(n: int, seed: int = 7) -> tuple[np.ndarray, np.ndarray]:
         text, tags = "", []
         while len(text) < 2 * WINDOW:
             kind = int(rng.integers(0, 4)) if rng.random() < 0.3 else -1
-            piece = _spelling(kind, rng, lambda: "".join(rng.choice(list("etaoinshrdlucm"), int(rng.integers(2, 8))))) if kind >= 0 else _other(rng, word) if rng.random() < 0.25 else word()
+            piece = _spelling(kind, rng, lambda odd: "".join(rng.choice(letters if odd else letters[:14], int(rng.integers(2, 8))))) if kind >= 0 else _other(rng, word) if rng.random() < 0.25 else word()
             tags += [2 * kind + 1, *[2 * kind + 2] * (len(piece) - 1)] if kind >= 0 else [0] * len(piece)
             gap = str(rng.choice([" ", " ", " ", ", ", ".\n", ". "]))
             text, tags = text + piece + gap, tags + [0] * len(gap)
@@ -200,19 +217,9 @@ class Tagger:
         return np.concatenate([self.run(x, 0)[0], self.run(x, 1)[0]], 2) @ self.out + self.bias
 
     def decode(self, x: np.ndarray) -> np.ndarray:
-        """Best tags (window, time) under emissions and transitions."""
-        e = self.emissions(x)
-        back, state = np.zeros(e.shape, np.int8), e[0]
-        for t in range(1, len(e)):
-            both = state[:, :, None] + self.moves
-            back[t] = both.argmax(1)
-            state = both.max(1) + e[t]
-        out = np.zeros(x.shape, np.int8)
-        out[:, -1] = state.argmax(1)
-        rows = np.arange(len(x))
-        for t in range(len(e) - 1, 0, -1):
-            out[:, t - 1] = back[t][rows, out[:, t]]
-        return out
+        """Best tags (window, time) of windows by themselves."""
+        e = self.emissions(x).transpose(1, 0, 2)
+        return best_path(np.ascontiguousarray(e).reshape(-1, TAGS), np.full(len(x), x.shape[1]), self.moves).reshape(x.shape)
 
 
 def _crf(e: np.ndarray, moves: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -235,10 +242,10 @@ def _crf(e: np.ndarray, moves: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, n
 
 
 @lru_cache(2)
-def train(steps: int = 260, batch: int = 48, rate: float = 0.02, seed: int = 7) -> Tagger:
+def train(steps: int = 500, batch: int = 48, rate: float = 0.02, seed: int = 7) -> Tagger:
     """Adam on windows of `examples`; the same tagger every time."""
     rng = np.random.default_rng(seed)
-    x, y = examples(min(3000, steps * batch), seed)
+    x, y = examples(min(6000, steps * batch), seed)
     g = 4 * HIDDEN
     m = Tagger(*(a.astype(np.float32) for a in (rng.normal(0, 0.3, (2, SYMBOLS, g)), rng.normal(0, 0.25, (2, HIDDEN, g)), rng.normal(0, 0.3, (2 * HIDDEN, TAGS)), np.zeros(TAGS), np.zeros((TAGS, TAGS)))))
     m.table[:, :, HIDDEN : 2 * HIDDEN] += 1
@@ -275,46 +282,96 @@ def train(steps: int = 260, batch: int = 48, rate: float = 0.02, seed: int = 7)
 # whole texts
 
 
-def tagged(found: list[str], model: Tagger) -> list[list[Span]]:
-    """Spans that the tagger sees in each text, reconciled over its windows."""
+def best_path(e: np.ndarray, sizes: np.ndarray, moves: np.ndarray) -> np.ndarray:
+    """Best tag of each row of e under the transitions; runs of so many rows stand one after another."""
+    order = np.argsort(-sizes, kind="stable")
+    sizes, first = sizes[order], (np.cumsum(sizes) - sizes)[order]
+    longest = int(sizes.max(initial=0))
+    active = np.searchsorted(-sizes, -np.arange(longest), side="left")
+    back, tags = np.zeros(e.shape, np.int8), np.zeros(len(e), np.int8)
+    state = e[first].copy() if len(sizes) else e[:0]
+    for t in range(1, longest):
+        n = int(active[t])
+        both = state[:n, :, None] + moves
+        back[first[:n] + t] = both.argmax(1)
+        state[:n] = both.max(1) + e[first[:n] + t]
+        state[:n] -= state[:n].max(1, keepdims=True)
+    now = state.argmax(1)
+    for t in range(longest - 1, -1, -1):
+        n = int(active[t])
+        at = first[:n] + t
+        tags[at] = now[:n]
+        now[:n] = back[at, now[:n]]
+    return tags
+
+
+def _decode(jobs: list[tuple[int, np.ndarray, np.ndarray]], model: Tagger, out: list[list[tuple[int, int, int, float]]]) -> None:
+    """jobs: text, its symbols, the numbers of its windows; adds (kind, start, end, sureness) to the texts' lists."""
     half = WINDOW // 2
-    coded, jobs, marks = [], [], []
+    weight = (half - np.abs(np.arange(WINDOW) - half + 0.5)).astype(np.float32)
+    texts_of, steps = np.concatenate([np.full(len(s), k) for k, (_, _, s) in enumerate(jobs)]), np.concatenate([s for _, _, s in jobs])
+    new = np.concatenate([[True], (texts_of[1:] != texts_of[:-1]) | (steps[1:] != steps[:-1] + 1)])
+    run = np.cumsum(new) - 1
+    windows = np.bincount(run)
+    sizes = (windows - 1) * half + WINDOW
+    begin = np.cumsum(sizes) - sizes
+    inside = np.arange(len(steps)) - np.flatnonzero(new)[run]
+    at = begin[run] + inside * half
+    e, mass = np.zeros((int(sizes.sum()), TAGS), np.float32), np.zeros(int(sizes.sum()), np.float32)
+    for a in range(0, len(steps), 1024):
+        rows = slice(a, a + 1024)
+        x = np.stack([jobs[k][1][s * half : s * half + WINDOW] for k, s in zip(texts_of[rows].tolist(), steps[rows].tolist(), strict=True)])
+        found = model.emissions(x).transpose(1, 0, 2) * weight[None, :, None]
+        for odd in (0, 1):  # windows of one parity don't overlap
+            mine = np.flatnonzero(inside[rows] % 2 == odd)
+            place = at[rows][mine, None] + np.arange(WINDOW)
+            e[place] += found[mine]
+            mass[place] += weight
+    e /= mass[:, None]
+    tags = best_path(e, sizes, model.moves)
+    kind = np.where(tags > 0, (tags - 1) // 2, -1)
+    fresh = np.zeros(len(tags), bool)
+    fresh[begin] = True
+    starts = np.flatnonzero((kind >= 0) & (fresh | (tags % 2 == 1) | (kind != np.concatenate([[-1], kind[:-1]]))))
+    # a span goes on while the kind stays and no other one begins
+    stop = np.flatnonzero(np.concatenate([fresh[1:] | (kind[1:] != kind[:-1]) | (tags[1:] % 2 == 1), [True]])) + 1
+    finish = stop[np.searchsorted(stop, starts, side="right")] if len(starts) else starts
+    sure = np.concatenate([[0], np.cumsum(e[np.arange(len(e)), tags] - e[:, 0], dtype=np.float64)])
+    where = np.repeat(np.arange(len(sizes)), sizes)
+    lead = steps[new] * half - begin
+    owner = texts_of[new]
+    for s, f in zip(starts.tolist(), finish.tolist(), strict=True):
+        r = where[s]
+        out[jobs[owner[r]][0]].append((int(kind[s]), int(s + lead[r]), int(f + lead[r]), float(sure[f] - sure[s]) / (f - s)))
+
+
+def tagged(found: list[str], model: Tagger) -> list[list[tuple[int, int, int, float]]]:
+    """Spans that the tagger sees in each text, with their sureness; ends may lie beyond the text's by padding."""
+    half = WINDOW // 2
+    out: list[list[tuple[int, int, int, float]]] = [[] for _ in found]
+    jobs, n = [], 0
     for k, text in enumerate(found):
         at = np.array([m.start() for m in _TRIGGER.finditer(text)], np.int64)
-        coded.append(None)
         if len(at):
-            coded[k] = np.concatenate([symbols(text), np.full(WINDOW, 95)])
             steps = np.unique(np.concatenate([at // half, np.maximum(at // half - 1, 0)]))
-            jobs.append(np.stack([np.full(len(steps), k), steps * half], 1))
-    out: list[list[Span]] = [[] for _ in found]
-    if not jobs:
-        return out
-    jobs = np.concatenate(jobs)
-    for a in range(0, len(jobs), 4096):
-        marks.append(model.decode(np.stack([coded[k][s : s + WINDOW] for k, s in jobs[a : a + 4096].tolist()])))
-    marks = np.concatenate(marks)
-    middle = half - np.abs(np.arange(WINDOW) - half + 0.5)
-    edges = np.flatnonzero(np.concatenate([[True], jobs[1:, 0] != jobs[:-1, 0], [True]]))
-    for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
-        k = int(jobs[a, 0])
-        size = len(coded[k])
-        tags, sure = np.zeros(size, np.int8), np.zeros(size)
-        for row in range(a, b):
-            s = int(jobs[row, 1])
-            better = middle > sure[s : s + WINDOW]
-            tags[s : s + WINDOW][better] = marks[row][better]
-            sure[s : s + WINDOW][better] = middle[better]
-        kind = np.where(tags > 0, (tags - 1) // 2, -1)
-        starts = np.flatnonzero((kind >= 0) & ((tags % 2 == 1) | (kind != np.concatenate([[-1], kind[:-1]]))))
-        for s in starts.tolist():
-            e = s + 1
-            while e < size and kind[e] == kind[s] and tags[e] % 2 == 0:
-                e += 1
-            out[k].append((int(kind[s]), s, min(e, len(found[k]))))
+            jobs.append((k, np.concatenate([symbols(text), np.full(WINDOW, 95)]), steps))
+            n += len(steps)
+            if n >= TOGETHER:
+                _decode(jobs, model, out)
+                jobs, n = [], 0
+    if jobs:
+        _decode(jobs, model, out)
     return out
 
 
-_SHAPE = (re.compile(r"\S+@\S+\.\S*[A-Za-z0-9]"), re.compile(r"[0-9]+(?:\.[0-9]+){3}"), _CARD, re.compile(r"[+(]?[0-9][\x20().0-9-]*[\x20().-][\x20().0-9-]*[0-9]"))
+def sensible(kind: int, text: str) -> bool:
+    """Whether what the tagger found can be of its kind."""
+    if kind == 0:
+        return len(text) > 4 and bool(_AT.search(text[1:-1]))
+    if kind == 1:
+        numbers = _NUMBERS.findall(text)
+        return len(numbers) == 4 and valid(1, ".".join(numbers))
+    return valid(kind, text)
 
 
 def spans(found: list[str], model: Tagger) -> list[tuple[list[Span], list[Span]]]:
@@ -322,13 +379,22 @@ def spans(found: list[str], model: Tagger) -> list[tuple[list[Span], list[Span]]
     result = []
     for text, more in zip(found, tagged(found, model), strict=True):
         base = base_spans(text)
-        taken = [(a, b) for _, a, b in base]
         extra = []
-        for kind, a, b in more:
-            if _SHAPE[kind].fullmatch(text[a:b]) and valid(kind, text[a:b]) and not any(a < d and c < b for c, d in taken):
+        if more:
+            taken = sorted((a, b) for _, a, b in base)
+            starts, reach = [a for a, _ in taken], [0]
+            for _, b in taken:
+                reach.append(max(reach[-1], b))
+            for kind, a, b, sure in more:
+                b = min(b, len(text))
+                while b > a and text[b - 1].isspace():
+                    b -= 1
+                while a < b and text[a].isspace():
+                    a += 1
+                if sure < SURE or reach[bisect_left(starts, b)] > a or not sensible(kind, text[a:b]):
+                    continue
                 if not (a and text[a - 1].isalnum()) and not (b < len(text) and text[b].isalnum()):
                     extra.append((kind, a, b))
-                    taken.append((a, b))
         result.append((base, sorted([*base, *extra])))
     return result
 
@@ -367,6 +433,7 @@ def redact(docs: DataFrame) -> DataFrame:
                     end = max(end, b)
                 out.append("".join([*parts, text[end:]]) if parts else text)
             yield batch.set_column(at, batch.schema.field(at), pa.array(out, batch.schema.field(at).type))
+        freed()
 
     done = docs.mapInArrow(run, docs.schema)
     return done.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else done
