@@ -1,10 +1,12 @@
 """Quality scores by a sparse rule ensemble: statistics of each text, rules from the paths of boosted trees, lasso
 logistic weights, and the rules compiled into Spark column expressions.
 
-Statistics are taken from whole texts. Trees and weights are fitted on at most MAX_TRAIN labelled rows, the ones with
-the least hash of doc_id. Null and empty texts have zero statistics and a score like any other. Without labels, or
-with labels of one kind only, no rule is learned and every score is the smoothed share of label 1. A doc_id labelled
-more than once counts once with its largest label; rows that repeat are kept; extra columns are left behind.
+Statistics are taken from whole texts. Trees and weights are fitted on at most MAX_TRAIN labelled rows: they are
+counted, and those whose hash of doc_id lies below the share wanted go to the driver, so tasks send no more than that.
+Null and empty texts have zero statistics and a score like any other. Without labels, or with labels of one kind only,
+no rule is learned and every score is the smoothed share of label 1. A doc_id labelled more than once counts once with
+its largest label, one with several texts with the least of their statistics; rows that repeat are kept; extra columns
+are left behind.
 """
 
 from __future__ import annotations
@@ -150,8 +152,15 @@ def fit(x: np.ndarray, y: np.ndarray, trees: int = 24, depth: int = 3, penalty:
 def train(measured: DataFrame, labels: DataFrame, bound: int = MAX_TRAIN) -> Ensemble:
     """Fit on (doc_id, quality) rows; at most `bound` of them reach the driver."""
     marks = labels.where("quality is not null and doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(F.col("quality").cast("double")).alias("y"))
-    rows = measured.dropDuplicates(["doc_id"]).join(marks, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound).select(*STATISTICS, "y").toPandas().to_numpy(float)
-    return fit(rows[:, :-1], rows[:, -1])
+    one = measured.groupBy("doc_id").agg(F.min(F.struct(*STATISTICS)).alias("s"))
+    rows = stored(one.join(marks, "doc_id").select("doc_id", "s.*", "y"), "labelled")
+    count = rows.count()
+    if count > bound:  # a little less is aimed at than may come
+        steps = 1 << 30
+        rows = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(steps)) < int(steps * max(0.5, 1 - 4 / bound**0.5) * bound / count))
+    found = rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound).select(*STATISTICS, "y").toArrow()
+    x = np.stack([c.to_numpy() for c in found.columns], 1)
+    return fit(x[:, :-1], x[:, -1])
 
 
 def score(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, Ensemble]:
