@@ -59,6 +59,16 @@ def tokens(text: Column, pattern: str = TOKEN, lowercase: bool = True, min_lengt
     return F.filter(found, lambda t: F.char_length(t) >= min_length) if min_length > 1 else found
 
 
+def token_count(text: Column, pattern: str) -> Column:
+    """White-space tokens that match the whole pattern."""
+    return F.size(F.filter(words(text), lambda w: w.rlike(f"^(?:{pattern})$"))).cast("long")
+
+
+def quality_text(text: Column, newline: str = " ") -> Column:
+    """Text as a classifier gets it: line ends replaced, white space collapsed."""
+    return collapse(F.replace(F.regexp_replace(text, "\r\n?", "\n"), F.lit("\n"), F.lit(newline)))
+
+
 def token_share(text: Column, pattern: str) -> Column:
     """Share of white-space tokens that match the whole pattern; 0 without tokens."""
     found = words(text)

@@ -67,15 +67,22 @@ def paragraphs(html: str, main_only: bool) -> list[str]:
     return parser.blocks
 
 
+# What parts paragraphs, what is no part of a paragraph's key, and the messages of the gate.
+_PARAGRAPHS = re.compile(r"\n\s*\n+")
+_NO_KEY = re.compile(r"[^a-z0-9]+")
+NO_TEXT = "No extractable text from HTML"
+LOW_QUALITY = "Filtered text did not meet quality thresholds: "
+
+
 def dedup_key(paragraph: str) -> str:
-    return re.sub(r"[^a-z0-9]+", " ", paragraph.lower()).strip()
+    return _NO_KEY.sub(" ", paragraph.lower()).strip()
 
 
 def merge_texts(*texts: str) -> str:
     """Paragraphs of all texts in order, the first of each key; keys without letters or digits go."""
     seen, out = set(), []
     for text in texts:
-        for part in re.split(r"\n\s*\n", text):
+        for part in _PARAGRAPHS.split(text.replace("\r\n", "\n").replace("\r", "\n").strip()):
             part = re.sub(r"[ \t]+", " ", part).strip()
             key = dedup_key(part)
             if key and key not in seen:
@@ -88,36 +95,54 @@ def default_extractor(html: str) -> str:
     return merge_texts("\n\n".join(paragraphs(html, True)), "\n\n".join(paragraphs(html, False)))
 
 
+def word_count(text):
+    """Runs of letters, digits and underscores of any alphabet."""
+    return F.size(F.regexp_extract_all(text, F.lit(r"(?U)\b\w+\b"), F.lit(0)))
+
+
 def quality_error(text, min_chars: int | None = 60, min_words: int | None = 20):
     """Message of every failed threshold, or null."""
-    words = F.size(F.regexp_extract_all(text, F.lit(r"(?U)\b\w+\b"), F.lit(0)))
     parts = []
     if min_chars is not None:
-        parts.append(F.when(F.char_length(text) < min_chars, F.concat(F.lit("text has "), F.char_length(text).cast("string"), F.lit(f" characters, needs {min_chars}"))))
+        parts.append(F.when(F.char_length(text) < min_chars, F.concat(F.lit("chars="), F.char_length(text).cast("string"), F.lit(f" < min_text_chars={min_chars}"))))
     if min_words is not None:
-        parts.append(F.when(words < min_words, F.concat(F.lit("text has "), words.cast("string"), F.lit(f" words, needs {min_words}"))))
-    return F.nullif(F.concat_ws("; ", *parts), F.lit("")) if parts else F.lit(None).cast("string")
+        parts.append(F.when(word_count(text) < min_words, F.concat(F.lit("words="), word_count(text).cast("string"), F.lit(f" < min_text_words={min_words}"))))
+    failed = F.nullif(F.concat_ws("; ", *parts), F.lit("")) if parts else F.lit(None).cast("string")
+    return F.when(failed.isNotNull(), F.concat(F.lit(LOW_QUALITY), failed))
+
+
+def _replaced(body):
+    return None if body is None else bytes(body).decode("utf-8", "replace")
+
+
+def decoded(body):
+    """Text of bytes as UTF-8; those that are not valid go through Python, which replaces the bad ones."""
+    return F.when(F.is_valid_utf8(body.cast("string")), body.cast("string")).otherwise(F.udf(_replaced, "string")(body))
 
 
-def parse(pages: DataFrame, extractor: Callable[[str], str] = default_extractor) -> DataFrame:
-    """pages (url, html, …) with title, text, error."""
+def parse(pages: DataFrame, extractor: Callable[[str], str] = default_extractor, min_chars: int | None = 60, min_words: int | None = 20) -> DataFrame:
+    """pages (url, html, …) with title, text, raw_text, error. raw_text: what the extractor found; text: empty if that
+    fails a threshold or nothing was found. A page that the extractor can't read is a row with an error."""
     names, at = [*pages.columns], pages.columns.index("html")
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pages.schema) + ", text string"
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pages.schema) + ", raw_text string, _failure string"
 
     def run(batches):
         for batch in batches:
-            done = []
+            done, failed = [], []
             for html in batch.column(at).to_pylist():
                 try:
                     done.append(extractor(html or ""))
-                except Exception as error:  # a page that no extractor can read is a row with an error
-                    done.append(f"\x00{type(error).__name__}: {error}")
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(done, pa.string())], [*names, "text"])
+                    failed.append(None)
+                except Exception as error:
+                    done.append("")
+                    failed.append(f"{type(error).__name__}: {error}")
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(done, pa.string()), pa.array(failed, pa.string())], [*names, "raw_text", "_failure"])
 
     found = pages.mapInArrow(run, schema)
-    failed = F.col("text").startswith("\x00")
-    found = found.withColumn("error", F.when(failed, F.substring("text", 2, 1000))).withColumn("text", F.when(failed, "").otherwise(F.col("text")))
-    return found.withColumns({"title": T.html_title(F.col("html")), "error": F.coalesce("error", quality_error(F.col("text")))})
+    nothing = F.when(F.col("_failure").isNotNull(), F.concat(F.lit(NO_TEXT + " ("), "_failure", F.lit(")"))).otherwise(F.lit(NO_TEXT))
+    error = F.when(F.col("raw_text") == "", nothing).otherwise(quality_error(F.col("raw_text"), min_chars, min_words))
+    judged = found.withColumns({"title": T.html_title(F.col("html")), "error": error}).withColumn("text", F.when(F.col("error").isNull(), F.col("raw_text")).otherwise(F.lit("")))
+    return judged.drop("_failure")
 
 
 def out_links(pages: DataFrame, base: str = "url") -> DataFrame:

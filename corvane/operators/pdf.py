@@ -47,21 +47,29 @@ def is_boilerplate(line: Column) -> Column:
     return ((F.char_length(line) <= 180) & matches) | ((F.char_length(line) < 120) & (pipes >= 3))
 
 
+#: Filtered texts of documents shorter than this are refused.
+MIN_CHARS, MIN_WORDS = 180, 30
+QUALITY_ERROR = "Filtered PDF text did not meet quality thresholds"
+EMPTY_ERROR = "No extractable text from PDF"
+
+
 def lines(pages: DataFrame) -> DataFrame:
-    """(doc_id, page, line_no, line, key) of the lines that are not empty. pages: doc_id, page, text."""
-    clean = F.translate(F.regexp_replace("text", "\r\n?", "\n"), " ", " ")
+    """(doc_id, pages, page, line_no, line, key) of the lines that are not empty, with the number of all the document's
+    pages. pages: doc_id, page, text; a page without text counts."""
+    clean = F.translate(F.regexp_replace(F.coalesce("text", F.lit("")), "\r\n?", "\n"), "\u00a0", " ")
     found = F.filter(F.transform(F.split(clean, "\n"), T.collapse), lambda x: x != "")
-    return pages.select("doc_id", "page", F.posexplode(found).alias("line_no", "line")).withColumn("key", line_key(F.col("line")))
+    count = pages.groupBy("doc_id").agg(F.countDistinct("page").alias("pages"))
+    rows = pages.select("doc_id", "page", F.posexplode(found).alias("line_no", "line")).withColumn("key", line_key(F.col("line")))
+    return rows.join(count, "doc_id").select("doc_id", "pages", "page", "line_no", "line", "key")
 
 
 def drop_repeated(rows: DataFrame, share: float = 0.6, longest: int = 120) -> DataFrame:
-    """rows with `drop`: null, boilerplate, or repeated (on at least max(2, share of the pages) pages, and short)."""
-    marked = rows.withColumn("furniture", is_boilerplate(F.col("line")))
-    on_pages = marked.where("not furniture and key != ''").groupBy("doc_id", "key").agg(F.countDistinct("page").alias("on_pages"))
-    pages = rows.groupBy("doc_id").agg(F.countDistinct("page").alias("pages"))
-    joined = marked.join(on_pages, ["doc_id", "key"], "left").join(pages, "doc_id")
+    """rows with `drop`: null, boilerplate, or repeated (its key stands on at least max(2, share of the pages), and the
+    line is short). Lines without letters or digits share the empty key; boilerplate counts too."""
+    on_pages = rows.groupBy("doc_id", "key").agg(F.countDistinct("page").alias("on_pages"))
     often = (F.col("on_pages") >= F.greatest(F.lit(2), F.floor(F.col("pages") * share))) & (F.char_length("line") <= longest)
-    return joined.withColumn("drop", F.when(F.col("furniture"), "boilerplate").when(often, "repeated")).drop("furniture", "on_pages", "pages")
+    joined = rows.join(on_pages, ["doc_id", "key"])
+    return joined.withColumn("drop", F.when(is_boilerplate(F.col("line")), "boilerplate").when(often, "repeated")).drop("on_pages")
 
 
 def join_lines(found: Column, enough: int = 420) -> Column:
@@ -85,30 +93,62 @@ def passes(chunk: Column, profile: Profile) -> Column:
     return fits & ((F.size(tokens) < 18) | (unique >= profile.min_unique))
 
 
-def document_text(rows: DataFrame, profile: Profile = STRICT, min_chars: int = 180, min_words: int = 30) -> DataFrame:
-    """(doc_id, text, ok, n_lines, n_dropped, n_chunks, n_kept) after line filter, chunking, quality and deduplication."""
-    marked = drop_repeated(rows)
-    gathered = marked.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.when(F.col("drop").isNull(), F.struct("page", "line_no", "line")))).alias("kept"), F.count(F.lit(1)).alias("n_lines"), F.count("drop").alias("n_dropped"))
-    made = gathered.withColumn("chunks", join_lines(F.transform("kept", lambda x: x["line"])))
-    passed = F.filter("chunks", lambda c: passes(c, profile))
-    # the first chunk of each key stays
-    keys = F.transform(passed, line_key)
-    good = F.filter(passed, lambda c, i: F.array_position(keys, F.try_element_at(keys, i + 1)) == i + 1)
-    text = F.array_join(good, "\n\n")
-    done = made.select("doc_id", text.alias("text"), "n_lines", "n_dropped", F.size("chunks").alias("n_chunks"), F.size(good).alias("n_kept"))
-    return done.withColumn("ok", (F.char_length("text") >= min_chars) & (F.size(F.regexp_extract_all("text", F.lit(TOKEN), F.lit(0))) >= min_words))
-
-
-def cascade(rows: DataFrame) -> DataFrame:
-    """(doc_id, text, profile): strict if it passes, else relaxed if it passes, else the longer text, else none."""
-    strict, relaxed = (document_text(rows, p).select("doc_id", F.col("text").alias(f"{n}_text"), F.col("ok").alias(f"{n}_ok")) for n, p in (("s", STRICT), ("r", RELAXED)))
-    both = strict.join(relaxed, "doc_id", "full")
-    longer = F.when(F.char_length("r_text") > F.char_length("s_text"), F.col("r_text")).otherwise(F.col("s_text"))
-    return both.select(
-        "doc_id",
-        F.when(F.col("s_ok"), F.col("s_text")).when(F.col("r_ok"), F.col("r_text")).otherwise(longer).alias("text"),
-        F.when(F.col("s_ok"), "strict").when(F.col("r_ok"), "relaxed").when(longer != "", "relaxed_partial").otherwise("error").alias("profile"),
-    )
+def _long_enough(text: Column, min_chars: int, min_words: int) -> Column:
+    return (F.char_length(text) >= min_chars) & (F.size(F.regexp_extract_all(text, F.lit(TOKEN), F.lit(0))) >= min_words)
+
+
+def page_chunks(rows: DataFrame) -> DataFrame:
+    """(doc_id, pages, page, boilerplate, repeated, made) of each page with a line: lines dropped, and the kept ones
+    joined into chunks that end with the page. rows: as `lines` gives them."""
+    pages = drop_repeated(rows).groupBy("doc_id", "page").agg(
+        F.first("pages").alias("pages"), F.array_sort(F.collect_list(F.when(F.col("drop").isNull(), F.struct("line_no", "line")))).alias("kept"), F.count_if(F.col("drop") == "boilerplate").alias("boilerplate"), F.count_if(F.col("drop") == "repeated").alias("repeated"),
+    )
+    return pages.select("doc_id", "pages", "page", "boilerplate", "repeated", join_lines(F.transform("kept", lambda x: x["line"])).alias("made"))
+
+
+def cascade(rows: DataFrame, strict: Profile = STRICT, relaxed: Profile = RELAXED, min_chars: int = MIN_CHARS, min_words: int = MIN_WORDS) -> DataFrame:
+    """(doc_id, text, error, quality_mode, and the counters of the filter) of every document with a line.
+
+    The strict text if it is long enough, else the relaxed one if that is; a document for which neither is has an empty
+    text and an error, and the counters of the longer text. A text is the chunks that pass, the first of each key. Both
+    profiles are judged in one pass over the chunks, a row for each.
+    """
+    each = page_chunks(rows).select("doc_id", "pages", "page", "boilerplate", "repeated", F.posexplode_outer("made").alias("pos", "chunk"))
+    chunk, place = F.col("chunk"), F.struct("page", "pos")
+    judged = each.withColumns({"key": line_key(chunk), "s": F.coalesce(passes(chunk, strict), F.lit(False)), "r": F.coalesce(passes(chunk, relaxed), F.lit(False))})
+    alike = Window.partitionBy("doc_id", "key")
+    first = judged.withColumns({f"{k}1": F.col(k) & (place == F.min(F.when(F.col(k), place)).over(alike)) for k in "sr"})
+    text = lambda k: F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col(f"{k}1"), F.struct("page", "pos", "chunk")))), lambda x: x["chunk"]), "\n\n")
+    top = F.coalesce("pos", F.lit(0)) == 0  # a page's own counts, once
+    side = lambda k: F.struct(text(k).alias("text"), F.count_if(f"{k}1").alias("chunks_kept"), F.count_if(chunk.isNotNull() & ~F.col(k)).alias("dropped_quality"), F.count_if(F.col(k) & ~F.col(f"{k}1")).alias("dropped_duplicate"))
+    both = first.groupBy("doc_id").agg(F.first("pages").alias("pages_total"), F.sum(F.when(top, F.col("boilerplate"))).alias("dropped_boilerplate"), F.sum(F.when(top, F.col("repeated"))).alias("dropped_repeated"), F.count("chunk").alias("chunks_input"), side("s").alias("s"), side("r").alias("r"))
+    s_ok, r_ok = (_long_enough(F.col(f"{k}.text"), min_chars, min_words) for k in "sr")
+    longer = F.char_length("r.text") > F.char_length("s.text")
+    mode = F.when(s_ok, "strict").when(r_ok, "relaxed").when(longer, "relaxed_partial").otherwise("strict")
+    chosen = both.withColumn("quality_mode", mode).withColumn("x", F.when(F.col("quality_mode") == "strict", F.col("s")).otherwise(F.col("r"))).withColumn("ok", s_ok | r_ok)
+    return chosen.select(
+        "doc_id", F.when(F.col("ok"), F.col("x.text")).otherwise(F.lit("")).alias("text"), F.when(~F.col("ok"), QUALITY_ERROR).alias("error"), "quality_mode", "pages_total", "chunks_input", "x.chunks_kept", "dropped_boilerplate", "dropped_repeated", "x.dropped_quality", "x.dropped_duplicate",
+        F.char_length("x.text").alias("clean_chars"), F.size(F.regexp_extract_all("x.text", F.lit(TOKEN), F.lit(0))).alias("clean_words"),
+    )
+
+
+def parse(pages: DataFrame, max_pages: int | None = None) -> DataFrame:
+    """As cascade, for every document of pages: those without a line have an error too."""
+    window = page_window(pages, max_pages)
+    found = cascade(lines(window))
+    every = window.groupBy("doc_id").agg(F.countDistinct("page").alias("_pages"))
+    rows = every.join(found, "doc_id", "left")
+    return rows.withColumns({"text": F.coalesce("text", F.lit("")), "error": F.when(F.col("quality_mode").isNull(), QUALITY_ERROR).otherwise(F.col("error")), "quality_mode": F.coalesce("quality_mode", F.lit("strict")), "pages_total": F.col("_pages")}).drop("_pages")
+
+
+def choose_pages(first: DataFrame, second: DataFrame) -> DataFrame:
+    """(doc_id, page, text, extractor): the first extractor's pages, but the second's where the first have too little
+    text and the second more words. Both: doc_id, page, text."""
+    words = lambda d: d.groupBy("doc_id").agg(F.sum(F.size(F.regexp_extract_all("text", F.lit(TOKEN), F.lit(0)))).alias("w"))
+    mine = low_signal(first).join(words(first), "doc_id")
+    judged = mine.join(words(second).withColumnRenamed("w", "w2"), "doc_id", "full").select("doc_id", (F.coalesce("low_signal", F.lit(True)) & (F.coalesce("w2", F.lit(0)) > F.coalesce("w", F.lit(0)))).alias("second"))
+    pick = lambda d, name, other: d.join(judged.where("second" if other else "not second").select("doc_id"), "doc_id", "left_semi").select("doc_id", "page", "text", F.lit(name).alias("extractor"))
+    return pick(first, "first", False).unionByName(pick(second, "second", True))
 
 
 def low_signal(pages: DataFrame) -> DataFrame:

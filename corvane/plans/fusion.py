@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 
 def candidates(k: int, fusion_k: int | None = None) -> int:
     """How deep each side is searched."""
-    return fusion_k or max(5 * k, 50)
+    if fusion_k is not None and fusion_k <= 0:
+        raise ValueError("fusion_k must be positive")
+    return max(5 * k, 50) if fusion_k is None else fusion_k
 
 
 def fuse(dense: DataFrame, sparse: DataFrame, k: int = 5, rrf_k: int = 60, dense_weight: float = 1.0, sparse_weight: float = 1.0, digits: int | None = None) -> DataFrame:

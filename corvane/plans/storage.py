@@ -5,15 +5,25 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+
+
+def folder(spark: SparkSession) -> str:
+    """The folder that spark.checkpoint.dir names; one of the driver's own only where the session is local and names none."""
+    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not found:
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        found = tempfile.mkdtemp(prefix="corvane-")
+        spark.sparkContext.setCheckpointDir(found)
+    return found.rstrip("/")
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
+    """df written under the folder and read back; deleted when the driver ends."""
     spark = df.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="corvane-")
-        spark.sparkContext.setCheckpointDir(folder)
-    path = f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
     return spark.read.schema(df.schema).parquet(path)

@@ -28,8 +28,9 @@ def read_jsonl(spark: SparkSession, path: str, schema: str, strict: bool = True)
     """JSON lines; a line that can't be read ends the job if strict and goes otherwise. Blank lines go."""
     if strict:
         return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
-    read = spark.read.schema(schema + ", _corrupt string").option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt").json(path)
-    return read.where("_corrupt is null").drop("_corrupt")
+    lines = spark.read.text(path).where("trim(value) != ''")
+    read = lines.select(F.from_json("value", schema + ", _corrupt string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}).alias("r"))
+    return read.where("r._corrupt is null").select("r.*").drop("_corrupt")
 
 
 def read_json(spark: SparkSession, path: str) -> DataFrame:
@@ -68,8 +69,10 @@ def answers_json(answers: Iterable[tuple[str, str]], **head: str) -> str:
     return json.dumps(head | dict(answers), ensure_ascii=False, indent=2)
 
 
-def append_visited(urls: DataFrame, path: str) -> DataFrame:
-    """Append the URLs not yet in the manifest, and return them."""
+def append_visited(urls: DataFrame, path: str) -> int:
+    """Append the URLs not yet in the manifest, and return how many those were."""
+    from ..plans.storage import stored
+
     spark = urls.sparkSession
     try:
         old = spark.read.text(path)
@@ -77,9 +80,12 @@ def append_visited(urls: DataFrame, path: str) -> DataFrame:
         if "PATH_NOT_FOUND" not in str(error):
             raise
         old = spark.createDataFrame([], "value string")
-    new = urls.select(F.col("url").alias("value")).distinct().join(old, "value", "left_anti")
-    new.write.mode("append").text(path)
-    return new
+    # written down first: the manifest must not be read and appended to by one plan
+    new = stored(urls.where("url is not null").select(F.col("url").alias("value")).distinct().join(old, "value", "left_anti"), "visited")
+    count = new.count()
+    if count:
+        new.write.mode("append").text(path)
+    return count
 
 
 def parsed_urls(docs: DataFrame) -> DataFrame:
@@ -114,16 +120,67 @@ def chunk_store(rows: DataFrame, last_wins: bool = False) -> DataFrame:
     return rows.where("trim(chunk_uid) != ''").groupBy("chunk_uid").agg(pick(payload, "row_id").alias("p")).select("chunk_uid", "p.*")
 
 
-def number_rows(rows: DataFrame, order: str, name: str = "row_id") -> DataFrame:
+def number_rows(rows: DataFrame, order: str | list[str], name: str = "row_id") -> DataFrame:
     """Consecutive numbers from 0 in order, without meeting in one task: ranges are counted, then shifted."""
-    ranged = rows.repartitionByRange(order).withColumn("_part", F.spark_partition_id())
-    within = ranged.withColumn("_k", F.row_number().over(Window.partitionBy("_part").orderBy(order)))
+    order = [order] if isinstance(order, str) else order
+    ranged = rows.repartitionByRange(*order).withColumn("_part", F.spark_partition_id())
+    within = ranged.withColumn("_k", F.row_number().over(Window.partitionBy("_part").orderBy(*order)))
     sizes = within.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     shifts = sizes.select("_part", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_before"))  # a row for each part
     return within.join(shifts, "_part").withColumn(name, (F.col("_before") + F.col("_k") - 1).cast("long")).drop("_part", "_k", "_before")
 
 
+def chunk_payload(rows: DataFrame, uid: str = "chunk_uid") -> DataFrame:
+    """What is shown of a chunk: uid, title, text, url, and doc_id, source_domain, metadata where rows have them."""
+    more = [c for c in ("doc_id", "source_domain", "metadata") if c in rows.columns]
+    has = lambda name: F.col(name) if name in rows.columns else F.lit(None).cast("string").alias(name)
+    return rows.select(F.col(uid).alias("chunk_uid"), has("title"), has("text"), has("url"), *more)
+
+
 def write_embeddings(rows: DataFrame, path: str, dim: int) -> None:
-    """(row_id, chunk_uid, embedding) as Parquet; a vector of another size ends the job."""
+    """(row_id, chunk_uid, embedding) as Parquet; a vector of another size or a blank uid ends the job."""
     checked = F.when(F.size("embedding") == dim, F.col("embedding")).otherwise(F.raise_error(F.lit(f"an embedding is not of size {dim}")))
-    rows.select("row_id", "chunk_uid", checked.cast("array<float>").alias("embedding")).write.mode("overwrite").parquet(path)
+    uid = F.when(F.coalesce(F.trim("chunk_uid"), F.lit("")) != "", F.trim("chunk_uid")).otherwise(F.raise_error(F.lit("a chunk_uid is blank")))
+    rows.select("row_id", uid.alias("chunk_uid"), checked.cast("array<float>").alias("embedding")).write.mode("overwrite").parquet(path)
+
+
+def write_embedded(rows: DataFrame, folder: str, dim: int) -> dict[str, int]:
+    """Embeddings, row map and chunk store of rows (row_id, chunk_uid, embedding, payload columns); returns the counts.
+
+    The store has one row for each uid, the first by row_id. Without rows all three are written empty.
+    """
+    spark = rows.sparkSession
+    write_embeddings(rows, f"{folder}/embeddings", dim)
+    spark.read.parquet(f"{folder}/embeddings").select("row_id", "chunk_uid").write.mode("overwrite").parquet(f"{folder}/embedding_to_uid")
+    chunk_store(rows.drop("embedding")).write.mode("overwrite").parquet(f"{folder}/chunk_store")
+    n, unique = spark.read.parquet(f"{folder}/embedding_to_uid").agg(F.count(F.lit(1)), F.countDistinct("chunk_uid")).first()
+    return {"num_rows": n, "dim": dim if n else 0, "num_unique_chunks": unique}
+
+
+def checked_row_map(rows: DataFrame, expected: int) -> DataFrame:
+    """(row_id, chunk_uid) of a row map; ValueError for ids out of range, blank uids, missing or repeated rows."""
+    uid = F.coalesce(F.trim("chunk_uid"), F.lit(""))
+    seen = rows.agg(F.count_if(F.col("row_id").isNull() | (F.col("row_id") < 0) | (F.col("row_id") >= expected)).alias("out"), F.count_if(uid == "").alias("blank"), F.countDistinct("row_id").alias("ids")).first()
+    if seen.out:
+        raise ValueError(f"{seen.out} row_ids are not within 0 to {expected - 1}")
+    if seen.blank:
+        raise ValueError(f"{seen.blank} rows have no chunk_uid")
+    if seen.ids != expected:
+        raise ValueError(f"{expected - seen.ids} rows have no mapping")
+    return rows.groupBy("row_id").agg(F.last("chunk_uid").alias("chunk_uid"))
+
+
+def read_embedded(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """(row_id, embedding) and (row_id, chunk_uid, payload) of what write_embedded wrote, checked against each other."""
+    vectors = spark.read.parquet(f"{folder}/embeddings").select("row_id", "embedding")
+    rows = checked_row_map(spark.read.parquet(f"{folder}/embedding_to_uid"), vectors.count())
+    return vectors, rows.join(spark.read.parquet(f"{folder}/chunk_store"), "chunk_uid", "left")
+
+
+def count_lines(spark: SparkSession, path: str, most: int | None = None) -> int | None:
+    """Lines that are not blank of a JSON-lines file, or `most`; None for files of other kinds."""
+    if most is not None:
+        return most
+    if not path.lower().endswith(".jsonl"):
+        return None
+    return spark.read.text(path).where("trim(value) != ''").count()

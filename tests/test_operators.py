@@ -1,10 +1,13 @@
+import importlib.util
 import json
+import zlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from corvane import config
-from corvane.operators import chunking, classify, fetch, frontier, html, pdf, stats
+from corvane.operators import chunking, classify, fetch, frontier, html, pdf, pdf_text, stats
 from corvane.plans import bm25, dense, fusion, rag
 from corvane.plans.storage import stored
 from corvane.sources import readers
@@ -22,8 +25,9 @@ def test_pack():
 
 def test_chunk_pipeline(spark):
     docs = spark.createDataFrame([(0, "a", "One two. Three."), (1, "b", "one TWO. three."), (2, "a", "| | | x"), (3, "c", ""), (4, "d", None)], "doc_seq long, doc_id string, text string")
-    kept, rejected = chunking.run_pipeline(docs)
-    assert [(r.doc_seq, r.text, r.chunk_index) for r in kept.collect()] == [(0, "One two. Three.", 0)]
+    done = chunking.run_pipeline(docs)
+    assert [(r.doc_seq, r.text, r.chunk_index) for r in done.marked.where("is_emitted").collect()] == [(0, "One two. Three.", 0)]
+    rejected = chunking.rejects(done.judged, done.marked)
     assert sorted((r.stage, r.doc_seq, r.reason.split(":")[0]) for r in rejected.collect()) == [("block", 2, "pipe_token_fraction_above_threshold"), ("chunk", 1, "duplicate_chunk_text")]
     with pytest.raises(ValueError):
         chunking.ChunkConfig(max_block_words=0)
@@ -45,7 +49,7 @@ def test_bm25_index_round_trip(spark, tmp_path):
     index = bm25.build(spark.createDataFrame([(0, "a b"), (1, "b c")], "row_id long, text string"), k1=1.2)
     index.write(str(tmp_path))
     again = bm25.Bm25Index.read(spark, str(tmp_path))
-    assert again.k1 == 1.2 and again.postings.count() == 4
+    assert again.settings.k1 == 1.2 and again.postings.count() == 4
 
 
 def test_dense_blocks_equal_builtin(spark):
@@ -78,13 +82,44 @@ def test_frontier(spark):
     all_rows = frontier.expand(seeds, edges, domains, 2, stored).collect()
     assert {(r.url, r.depth) for r in all_rows if r.status == "enqueued"} == {("http://a.com/", 0), ("http://a.com/1", 1), ("http://a.com/2", 1), ("http://a.com/3", 2), ("http://a.com/4", 2)}
     assert {r.status for r in all_rows if r.url is None} == {"invalid"}
-    assert {r.status for r in all_rows if r.url == "http://b.com/x"} == {"scope"}
+    assert {r.status for r in all_rows if r.url == "http://b.com/x"} == {"scope"} and {r.status for r in all_rows if r.url == "http://a.com/" and r.depth > 0} == {"seen"}
     capped = frontier.expand(seeds, edges, domains, 2, stored, global_cap=4, domain_cap=3).collect()
     assert [r.url for r in sorted((r for r in capped if r.status == "enqueued"), key=lambda r: r.depth)] == ["http://a.com/", "http://a.com/1", "http://a.com/2"]
     assert "domain_budget" in {r.status for r in capped}
     assert {r.status for r in frontier.expand(seeds, edges, domains, 2, stored, seed_cap=2).collect()} >= {"seed_budget", "seen"}
 
 
+def test_frontier_goes_deep(spark):
+    """A chain of pages, each with a few links; numbers are given anew at every level."""
+    edges = [(f"http://a.com/{k}", p, f"http://a.com/{k + 1}" if p == 3 else f"http://a.com/{k}-{p}") for k in range(9) for p in range(4)]
+    seeds = spark.createDataFrame([(77_000, "http://a.com/0")], "ord long, url string")
+    rows = frontier.expand(seeds, spark.createDataFrame(edges, "from_url string, position int, to_url string"), spark.createDataFrame([("a.com", [])], "domain string, prefixes array<string>"), 8, stored).collect()
+    assert {r.url: r.depth for r in rows}["http://a.com/8"] == 8 and len(rows) == 1 + 8 * 4 and {r.status for r in rows} == {"enqueued"}
+    assert [r.ord for r in sorted(rows, key=lambda r: (r.level, r.ord)) if r.level == 3] == [0, 1, 2, 3]
+
+
+def test_frontier_policies(spark):
+    seeds, edges, domains = _graph(spark)
+    more = spark.createDataFrame([("http://a.com/", 1, None)], "seed_url string, max_depth int, max_pages long")
+    assert {r.depth for r in frontier.expand(seeds, edges, domains, 5, stored, seed_policy=more).collect()} == {0, 1}
+    own = domains.withColumn("max_pages", F.lit(2).cast("long"))
+    rows = frontier.expand(seeds, edges, own, 5, stored, domain_cap=100).collect()
+    assert sum(r.status == "enqueued" for r in rows) == 2 and "domain_budget" in {r.status for r in rows}
+    seen = spark.createDataFrame([("http://A.com/1#top",), ("bad",)], "url string")
+    rows = frontier.expand(seeds, edges, domains, 5, stored, initial_seen=seen).collect()
+    assert {r.status for r in rows if r.url == "http://a.com/1"} == {"seen"}
+    # a global cap alone is settled without one ordered pass
+    rows = frontier.expand(seeds, edges, domains, 5, stored, global_cap=2).collect()
+    assert {r.url for r in rows if r.status == "enqueued"} == {"http://a.com/", "http://a.com/1"} and {r.status for r in rows if r.url == "http://a.com/2"} == {"global_budget"}
+    counted = frontier.counters(frontier.expand(seeds, edges, domains, 2, stored)).first()
+    assert (counted.enqueued, counted.skipped_invalid, counted.skipped_out_of_scope, counted.accepted_seed_count) == (5, 1, 1, 1)
+    assert {r.domain: r.n for r in frontier.accepted_by(frontier.expand(seeds, edges, domains, 2, stored), "domain").collect()} == {"a.com": 5}
+    urls = spark.createDataFrame([(0, "http://a.com/x"), (1, "HTTP://a.com/x/#y"), (2, "http://z.org/"), (3, None)], "ord long, url string")
+    assert [tuple(r) for r in frontier.filter_in_scope(urls, domains, "ord").collect()] == [(0, "http://a.com/x")]
+    assert [r.url for r in frontier.sorted_distinct([urls, urls.limit(2)]).collect()] == sorted({"http://a.com/x", "HTTP://a.com/x/#y", "http://z.org/"})
+    assert frontier.policy_of(urls, domains.where("false")).select("domain").distinct().collect()[0][0] is None
+
+
 def test_policy_longest(spark):
     domains = spark.createDataFrame([("a.com", ["/x"]), ("b.a.com", [])], "domain string, prefixes array<string>")
     urls = spark.createDataFrame([("http://b.a.com/q",), ("http://c.a.com/x",), ("http://nota.com/",)], "url string")
@@ -96,7 +131,14 @@ def test_html(spark):
     page = "<html><head><title>T</title><script>x</script></head><body><nav>menu</nav><article><h1>Head</h1><p>First  para &amp; more.<p>Second</article><div class='ad'>buy</div><div>Side note</div><footer>f</footer></body></html>"
     assert html.default_extractor(page) == "Head\n\nFirst para & more.\n\nSecond\n\nSide note"
     rows = html.parse(spark.createDataFrame([("http://a/", page), ("http://b/", None)], "url string, html string")).collect()
-    assert "characters" in rows[0].error and rows[1].text == ""
+    assert rows[0].error == "Filtered text did not meet quality thresholds: chars=43 < min_text_chars=60; words=7 < min_text_words=20" and rows[0].text == "" and rows[0].raw_text.startswith("Head")
+    assert rows[1].error == html.NO_TEXT and rows[1].text == ""
+
+    def broken(page):
+        raise KeyError("x")
+
+    assert html.parse(spark.createDataFrame([("http://a/", page)], "url string, html string"), broken).first().error == html.NO_TEXT + " (KeyError: 'x')"
+    assert [r[0] for r in spark.createDataFrame([(b"caf\xc3\xa9",), (b"a\xffb",), (None,)], "b binary").select(html.decoded(F.col("b"))).collect()] == ["café", "a\ufffdb", None]
     assert html.merge_texts("A b\n\na  B\n\n--", "c") == "A b\n\nc"
 
 
@@ -106,7 +148,48 @@ def test_pdf(spark):
     marked = pdf.drop_repeated(pdf.lines(pages))
     assert {r.line for r in marked.where("drop = 'repeated'").collect()} == {"My Header"}
     assert marked.where("drop = 'boilerplate'").count() == 8
-    assert pdf.cascade(pdf.lines(pages)).first().profile in ("strict", "relaxed", "relaxed_partial")
+    found = pdf.cascade(pdf.lines(pages)).first()
+    assert found.quality_mode == "strict" and found.error is None and found.pages_total == 4 and found.chunks_kept == 4 and found.dropped_boilerplate == 8 and found.dropped_repeated == 4
+    # chunks end with their page, even in the middle of a sentence
+    assert [len(p.split()) for p in found.text.split("\n\n")] == [18] * 4
+    assert pdf.page_window(pages, 2).count() == 8 // 4
+
+
+def test_pdf_odd_pages(spark):
+    words = "some words that are long enough to stand here and be counted as a chunk by"
+    pages = [(1, 0, words), (1, 1, "---\nx"), (1, 2, "---\ny"), (2, 0, "short"), (3, 0, None), (4, 0, f"{words} one\n{words} ONE"), (4, 1, "a head\nb"), (4, 2, ""), (4, 3, "A head!")]
+    frame = spark.createDataFrame(pages, "doc_id long, page int, text string")
+    # pages without lines count; lines without letters share one key
+    drops = {(r.doc_id, r.line): r["drop"] for r in pdf.drop_repeated(pdf.lines(frame)).collect()}
+    assert drops[1, "---"] == "repeated" and drops[4, "a head"] == drops[4, "A head!"] == "repeated" and drops[4, "b"] is None
+    found = {r.doc_id: r for r in pdf.parse(frame).collect()}
+    assert all(found[k].text == "" and found[k].error == pdf.QUALITY_ERROR for k in (1, 2, 3, 4)) and found[1].quality_mode == "strict" and found[3].pages_total == 1
+    better = spark.createDataFrame([(2, 0, " ".join([words] * 4))], "doc_id long, page int, text string")
+    chosen = {(r.doc_id, r.extractor) for r in pdf.choose_pages(frame, better).collect()}
+    assert (2, "second") in chosen and (1, "first") in chosen and (2, "first") not in chosen
+
+
+def _pdf_file(*pages, packed=True):
+    """A PDF with one content stream for each page."""
+    parts, kids = [], " ".join(f"{3 + 2 * k} 0 R" for k in range(len(pages)))
+    parts.append(b"1 0 obj << /Type /Catalog /Pages 2 0 R >> endobj")
+    parts.append(f"2 0 obj << /Type /Pages /Kids [{kids}] /Count {len(pages)} >> endobj".encode())
+    for k, lines in enumerate(pages):
+        shown = b" ".join(b"(" + x.replace("(", r"\(").replace(")", r"\)").encode("latin-1") + b") Tj 0 -14 Td" for x in lines)
+        body = b"BT /F1 12 Tf 72 700 Td " + shown + b" [(Ke) 20 (rn) -300 (ed)] TJ ET"
+        body = zlib.compress(body) if packed else body
+        parts.append(f"{3 + 2 * k} 0 obj << /Type /Page /Parent 2 0 R /Contents {4 + 2 * k} 0 R >> endobj".encode())
+        parts.append(f"{4 + 2 * k} 0 obj << /Length {len(body)} {'/Filter /FlateDecode' if packed else ''} >> stream\n".encode() + body + b"\nendstream endobj")
+    return b"%PDF-1.4\n" + b"\n".join(parts) + b"\ntrailer << /Root 1 0 R >>\n%%EOF"
+
+
+@pytest.mark.parametrize("packed", [True, False])
+def test_pdf_bytes(packed):
+    assert pdf_text.pages_of(_pdf_file(["Hello (world)", "two"], ["caf\u00e9"], packed=packed)) == ["Hello (world)\ntwo\nKern ed", "caf\u00e9\nKern ed"]
+    assert pdf_text.pages_of(_pdf_file(["a"], ["b"]), 1) == ["a\nKern ed"]
+    for bad in (b"", b"<html>", b"%PDF-1.4 /Encrypt"):
+        with pytest.raises(ValueError):
+            pdf_text.pages_of(bad)
 
 
 def test_fetch(spark):
@@ -144,8 +227,7 @@ def test_sources(spark, tmp_path):
     assert readers.read_queries(spark, str(tmp_path / "q.json")).first().question == "Why?"
     assert json.loads(readers.answers_json([("1", "a"), ("1", "b")], who="x")) == {"who": "x", "1": "b"}
     urls = spark.createDataFrame([("a",), ("a",), ("b",)], "url string")
-    assert readers.append_visited(urls, str(tmp_path / "visited")).count() >= 0
-    readers.append_visited(urls, str(tmp_path / "visited"))
+    assert readers.append_visited(urls, str(tmp_path / "visited")) == 2 and readers.append_visited(urls, str(tmp_path / "visited")) == 0
     assert spark.read.text(str(tmp_path / "visited")).count() == 2
     numbered = readers.number_rows(spark.range(50).selectExpr("id * 2 as v"), "v").orderBy("v").collect()
     assert [r.row_id for r in numbered] == list(range(50))
@@ -159,8 +241,14 @@ def test_rag(spark):
     questions = spark.createDataFrame([(1, "alpha?"), (2, "zzz")], "query_id long, text string")
     found = rag.search(questions, 1, "sparse", bm25.build(store))
     prompts = {r.query_id: r.prompt for r in rag.prompts(questions, found, store).collect()}
-    assert prompts[1].startswith("Question: alpha?\n\nContext passages:\n[1] (title: Untitled; source: unknown)\nAlpha") and rag.NO_CONTEXT in prompts[2]
-    assert {r.query_id: r.answer for r in rag.answer(questions, found, store).collect()} == {1: "Alpha is first", 2: ""}
+    # a question that no row matches gets the first rows all the same, as a full ranking does
+    assert prompts[1].startswith("Question: alpha?\n\nContext passages:\n[1] (title: Untitled; source: unknown)\nAlpha") and "Alpha is first" in prompts[2]
+    assert {r.query_id: r.answer for r in rag.answer(questions, found, store).collect()} == {1: "Alpha is first", 2: "Alpha is first"}
+    none = rag.search(questions, 1, "closed_book")
+    assert {r.prompt for r in rag.prompts(questions, none, store).collect() if rag.NO_CONTEXT in r.prompt} and rag.search(questions.withColumn("text", F.lit(" ")), 1, "sparse", bm25.build(store)).count() == 0
+    for mode in ("sparse", "dense", "hybrid"):
+        with pytest.raises(ValueError):
+            rag.search(questions, 1, mode)
     with pytest.raises(ValueError):
         rag.search(questions, 1, "other")
 
@@ -176,6 +264,17 @@ def test_config(tmp_path):
     (tmp_path / "c.json").write_text('{"max_block_words": "30", "sentences_per_block": 3}')
     with pytest.warns(UserWarning):
         assert config.chunk_config(config.load_mapping(str(tmp_path / "c.json"))).max_block_words == 30
+    assert config.chunk_config({"lang": "de", "quality_threshold": 0.7}).keep_labels == ("de",)
+    whole = config.CrawlConfig.load({"seeds": ["http://a.com/", {"url": "http://b.com/", "max_depth": 0, "backend": "Selenium"}, "http://a.com/"], "seed_settings": [{"seed_url": "http://a.com/", "max_pages": "4"}], "max_pages_per_domain": 7})
+    assert whole.seeds == ("http://a.com/", "http://b.com/") and [d.domain for d in whole.domains] == ["a.com", "b.com"] and whole.per_domain_cap == 7
+    assert {p.seed_url: (p.max_depth, p.max_pages, p.backend) for p in whole.seed_settings} == {"http://a.com/": (None, 4, None), "http://b.com/": (0, None, "selenium")}
+    for bad in ({"seeds": [{"max_depth": 1}]}, {"seeds": ["http://a.com/"], "seed_settings": {"http://x.com/": {}}}, {"seeds": ["http://a.com/"], "domains": [{"domain": "a.com", "backend": "x"}]}, {"max_pages": 0}, {"seeds": [{"url": "http://a.com/", "max_depth": -1}]}):
+        with pytest.raises(ValueError):
+            config.CrawlConfig.load(bad)
+    for name in ("c.yaml", "d.json"):
+        if name == "d.json" or importlib.util.find_spec("yaml"):
+            config.save_mapping(config.to_mapping(whole), str(tmp_path / name))
+            assert config.CrawlConfig.load(config.load_mapping(str(tmp_path / name))) == whole
     crawl = config.CrawlConfig.load({"domains": ["a.com", {"domain": "b.com", "max_pages": 3}, {"domain": "a.com", "backend": "selenium"}], "retries": 1})
     assert [d.domain for d in crawl.domains] == ["a.com", "b.com"] and crawl.domains[0].backend == "selenium"
     with pytest.raises(ValueError):
@@ -192,3 +291,117 @@ def test_streaming(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "out")).count() == 3
     ingest.append(ingest.blocks(stream), str(tmp_path / "out2"), str(tmp_path / "state2")).awaitTermination()
     assert spark.read.parquet(str(tmp_path / "out2")).count() == 6
+
+
+def pack_by_the_rules(sentences, most, overlap):
+    """Packing said once more, sentence by sentence, with the sentences themselves held."""
+    out, held = [], []
+    size = lambda: sum(len(s.split()) for s in held)
+    for s in sentences:
+        n = len(s.split())
+        if n > most:
+            out += [" ".join(held)] * bool(held) + [" ".join(s.split()[a : a + most]) for a in range(0, n, most)]
+            held = []
+            continue
+        if held and size() + n > most:
+            out.append(" ".join(held))
+            held = held[len(held) - min(overlap, len(held)) :]
+            while held and size() + n > most:
+                held.pop(0)
+        held.append(s)
+    return out + [" ".join(held)] * bool(held)
+
+
+def test_packing_equals_the_rules():
+    rng = np.random.default_rng(0)
+    for _ in range(3000):
+        sentences = [" ".join("w" for _ in range(rng.integers(1, 9))) + str(k) for k in range(rng.integers(0, 12))]
+        most, overlap = int(rng.integers(1, 12)), int(rng.integers(0, 4))
+        assert chunking.pack(sentences, most, overlap) == pack_by_the_rules(sentences, most, overlap)
+
+
+def test_chunk_run(spark):
+    good = "One two three four five six. "
+    docs = spark.createDataFrame([(0, "a", good * 3, None, "http://a/", "T", "A.com "), (1, "b", "one TWO three four five six.", "http://f/", "http://b/", None, None), (2, "c", "| | | | x", None, None, None, "a.com"), (3, "d", "", None, None, None, None)], "doc_seq long, doc_id string, text string, final_url string, url string, title string, source_domain string")
+    calls = []
+    done = chunking.run_pipeline(docs, chunking.ChunkConfig(max_block_words=6, overlap_sentences=0), None, None, lambda d, n: calls.append(n) or stored(d, n))
+    assert calls == ["blocks", "chunks"]
+    chunks = done.chunks.collect()
+    assert [(r.doc_id, r.url, r.title, r.source_domain, r.block_ids, r.metadata.chunk_index) for r in chunks] == [("a", "http://a/", "T", "A.com", [0], 0)]
+    rejected = done.rejected.collect()
+    assert sorted((r.stage, r.doc_id, r.reason.split(":")[0]) for r in rejected) == [("block", "c", "pipe_token_fraction_above_threshold"), *[("chunk", "a", "duplicate_chunk_text")] * 2, ("chunk", "b", "duplicate_chunk_text")]
+    assert {r.url for r in rejected if r.doc_id == "b"} == {"http://f/"} and json.loads(next(r.metadata for r in rejected if r.stage == "block"))["pipe_token_count"] == 4
+    found = chunking.summary(done.docs, done.judged, done.marked, done.config, "2024-01-01T00:00:00+00:00", "2024-01-01T00:00:02+00:00")
+    assert (found["docs_input"], found["docs_kept"], found["blocks_input"], found["chunks_output"], found["chunks_deduped"], found["duration_seconds"]) == (4, 1, 5, 1, 3, 2.0)
+    assert found["rejections"]["by_stage_domain"] == {"block": {"a.com": 1}, "chunk": {"a.com": 2, "unknown": 1}} and found["domains"]["docs_by_domain"] == {"a.com": 2, "unknown": 2} and found["lengths"]["docs_kept_words"]["total"] == 18
+    assert chunking.run_pipeline(docs, max_docs=1).docs.count() == 1
+    predict = classify.label_column((["en"], np.log(np.full((1, classify.GRAMS), 1 / classify.GRAMS))))
+    assert {r.label for r in chunking.run_pipeline(docs, predict=predict).judged.collect()} == {"en"}
+    with pytest.raises(ValueError):
+        chunking.limited(docs, 0)
+
+
+def test_index_keeps_its_tokenizer(spark, tmp_path):
+    rows = spark.createDataFrame([(0, "foo-bar baz"), (1, "foo qux"), (2, "Foo-Bar"), (3, None), (4, "!!")], "row_id long, text string")
+    bm25.build(rows, pattern="[A-Za-z-]+", lowercase=False, min_length=4).write(str(tmp_path / "i"))
+    index = bm25.Bm25Index.read(spark, str(tmp_path / "i"))
+    assert (index.n, index.settings.pattern, index.settings.lowercase, index.settings.min_length) == (2, "[A-Za-z-]+", False, 4)
+    asked = spark.createDataFrame([(0, "foo-bar"), (1, "nothing here"), (2, "!!")], "query_id long, text string")
+    assert [(r.query_id, r.row_id) for r in bm25.search(index, asked).collect()] == [(0, 0)]
+    padded = sorted((r.query_id, r.rank, r.row_id) for r in bm25.search(index, asked, 2, True).collect())
+    assert padded == [(0, 1, 0), (0, 2, 2), (1, 1, 0), (1, 2, 2)]
+    for bad in ({"pattern": "("}, {"min_length": 0}, {"k1": -1.0}, {"b": 2.0}):
+        with pytest.raises(ValueError):
+            bm25.Settings(**bad)
+    plan = index.postings._jdf.queryExecution().toString()
+    assert "CartesianProduct" not in plan
+    counted = bm25.build_counts(rows).first()
+    assert (counted.input_rows, counted.indexed_rows, counted.skipped_empty_text, counted.skipped_empty_tokens) == (5, 3, 1, 1)
+
+
+def test_dense_blocks(spark, monkeypatch):
+    rng = np.random.default_rng(0)
+    x, q = rng.integers(-3, 4, (300, 5)).astype(float), rng.integers(-3, 4, (9, 5)).astype(float)
+    corpus = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)] + [(999, None)], "row_id long, embedding array<double>").repartition(4)
+    queries = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(q)] + [(99, None)], "query_id long, vector array<double>")
+    monkeypatch.setattr(dense, "SCORE_BYTES", 8 * 9 * 16)
+    for limit in (32 << 20, 100):  # one block of queries, and several
+        monkeypatch.setattr(dense, "QUERY_BYTES", limit)
+        for metric in dense.METRICS:
+            score = {"ip": x @ q.T, "l2": -((x[:, None] - q[None]) ** 2).sum(2), "cosine": (x @ q.T) / np.maximum(np.linalg.norm(x, axis=1), 1e-12)[:, None] / np.maximum(np.linalg.norm(q, axis=1), 1e-12)[None]}[metric]
+            want = {(j, k + 1): int(i) for j in range(9) for k, i in enumerate(np.lexsort((np.arange(300), -np.round(score[:, j], 6)))[:7])}
+            assert {(r.query_id, r.rank): r.row_id for r in dense.search_blocks(corpus, queries, 7, metric).collect()} == want
+    assert dense.search_blocks(corpus, queries.where("false")).count() == 0 and dense.search_blocks(corpus.where("false"), queries).count() == 0
+    states, mask = np.arange(12).reshape(2, 3, 2), np.array([[1, 1, 0], [1, 1, 1]])
+    assert dense.last_token_pool(states, mask).tolist() == [[2, 3], [10, 11]] and dense.last_token_pool(states, np.array([[0, 1, 1], [1, 1, 1]])).tolist() == [[4, 5], [10, 11]]
+
+
+def test_fusion_depth():
+    for bad in (0, -1):
+        with pytest.raises(ValueError):
+            fusion.candidates(3, bad)
+
+
+def test_embedding_storage(spark, tmp_path):
+    rows = spark.createDataFrame([(0, "u", [1.0, 0.0], "first"), (1, "v", [0.0, 1.0], "x"), (2, "u", [1.0, 1.0], "second")], "row_id long, chunk_uid string, embedding array<double>, text string")
+    assert readers.write_embedded(rows, str(tmp_path / "e"), 2) == {"num_rows": 3, "dim": 2, "num_unique_chunks": 2}
+    vectors, payload = readers.read_embedded(spark, str(tmp_path / "e"))
+    assert vectors.count() == 3 and {r.row_id: r.text for r in payload.collect()} == {0: "first", 1: "x", 2: "first"}
+    assert readers.write_embedded(rows.where("false"), str(tmp_path / "none"), 2) == {"num_rows": 0, "dim": 0, "num_unique_chunks": 0}
+    assert readers.read_embedded(spark, str(tmp_path / "none"))[0].count() == 0
+    ids = lambda *r: spark.createDataFrame(r, "row_id long, chunk_uid string")
+    for bad in (ids((0, "a"), (5, "b")), ids((0, "a"), (1, " ")), ids((0, "a"), (0, "b"))):
+        with pytest.raises(ValueError):
+            readers.checked_row_map(bad, 2)
+    with pytest.raises(Exception):
+        readers.write_embeddings(rows, str(tmp_path / "bad"), 3)
+    (tmp_path / "l.jsonl").write_text("{}\n\n{}\n")
+    assert readers.count_lines(spark, str(tmp_path / "l.jsonl")) == 2 and readers.count_lines(spark, "x.json") is None and readers.count_lines(spark, "x.jsonl", 7) == 7
+
+
+def test_summaries_add_up():
+    one = {"fetched_ok": 1, "started_at": "a", "fetch": {"by_backend": {"requests": {"ok": 1, "error": 0}}, "elapsed_ms_total": 10, "elapsed_ms_samples": 1, "elapsed_ms_avg": 10.0}, "frontier": {"snapshot": {"enqueued": 1}, "extra_status_counts": {"scope": 1}}, "custom_counters": {}}
+    two = {"fetched_ok": 2, "started_at": "b", "fetch": {"by_backend": {"requests": {"ok": 1, "error": 1}, "selenium": {"ok": 1, "error": 0}}, "elapsed_ms_total": 30, "elapsed_ms_samples": 3, "elapsed_ms_avg": 10.0}, "frontier": {"snapshot": {"enqueued": 5}, "extra_status_counts": {"scope": 2}}, "custom_counters": {"x": 1}}
+    got = stats.merge_summaries(one, two)
+    assert got["fetched_ok"] == 3 and got["started_at"] == "a" and got["fetch"]["by_backend"] == {"requests": {"ok": 2, "error": 1}, "selenium": {"ok": 1, "error": 0}} and got["fetch"]["elapsed_ms_avg"] == 10.0
+    assert got["frontier"] == {"snapshot": {"enqueued": 5}, "extra_status_counts": {"scope": 3}} and got["custom_counters"] == {"x": 1}
