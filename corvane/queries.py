@@ -218,6 +218,25 @@ def chunk_rejections(spark, sf_dir):
     return chunking.rejection_rows(judged, chunking.chunks(judged.where("reason is null")), _shown(spark, sf_dir)).where("reason is null").select("stage", "domain", "n")
 
 
+@query(f"WITH {_PACK}, big AS (SELECT doc_id, block_id, text FROM blocks WHERE len(string_split(text, ' ')) >= 12 AND length(text) >= 60) SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY block_id) - 1 AS block_id, sha1(text) AS text_sha1 FROM big")
+def block_minimums(spark, sf_dir):
+    """Blocks below the minimums are gone before blocks are numbered."""
+    config = chunking.ChunkConfig(min_block_words=12, min_block_chars=60)
+    return chunking.split_blocks(_sequenced(spark, sf_dir), config).select(F.col("doc_seq").alias("doc_id"), F.col("block_id").cast("long").alias("block_id"), F.sha1("text").alias("text_sha1"))
+
+
+@query(f"""WITH {_PACK}, s AS (SELECT doc_id, block_id, reason, text, len(list_filter(string_split(text, ' '), lambda w: w = '|')) / len(string_split(text, ' ')) AS p, len(list_filter(string_split(text, ' '), lambda w: regexp_full_match(w, '-+'))) / len(string_split(text, ' ')) AS h FROM judged2 WHERE reason IS NOT NULL)
+SELECT s.doc_id, block_id, CASE reason WHEN 'pipe' THEN 'pipe_token_fraction_above_threshold:' || printf('%.4f', p) || '>0.0500' WHEN 'dash' THEN 'dash_token_fraction_above_threshold:' || printf('%.4f', h) || '>0.0500' ELSE 'classifier_label_not_allowed:' || lang END AS reason FROM s JOIN (SELECT doc_id, lang FROM documents) USING (doc_id)""")
+def reject_reasons(spark, sf_dir):
+    return _judged(spark, sf_dir).where("reason is not null").select(F.col("doc_seq").alias("doc_id"), F.col("block_id").cast("long").alias("block_id"), "reason")
+
+
+@query(r"SELECT doc_id, sha1(trim(regexp_replace(replace(text, chr(10), ' / '), '\s+', ' ', 'g'))) AS text_sha1, 'Instruct: find it' || chr(10) || 'Query: ' || lang AS query, source AS passage FROM documents")
+def model_inputs(spark, sf_dir):
+    """Texts as a classifier gets them, queries and passages as an encoder does."""
+    return _docs(spark, sf_dir).select("doc_id", F.sha1(T.quality_text(F.col("text"), " / ")).alias("text_sha1"), T.query_format(F.col("lang"), "find it").alias("query"), T.passage_format(F.col("source")).alias("passage"))
+
+
 # statistics
 
 
@@ -296,6 +315,69 @@ def chunk_payloads(spark, sf_dir):
     return chunk_payload(rows).select("doc_id", "chunk_uid", "title", F.sha1("text").alias("text_sha1"), "url")
 
 
+@query("SELECT event_id, event_type <> 'error' AND event_id % 7 < 4 AND event_id % 5 > 0 AS ok, CASE WHEN event_type = 'error' AND event_id % 2 = 0 THEN 'Timeout' END AS error_type FROM events")
+def fetch_outcomes(spark, sf_dir):
+    n, bad = F.col("event_id"), F.col("event_type") == "error"
+    error = F.when(bad, F.when(n % 2 == 0, F.lit("Timeout: slow")).otherwise(F.lit("no type")))
+    status = F.when(n % 7 < 3, 200 + (n % 7) * 49).when(n % 7 == 3, 299).when(n % 7 == 4, 300).when(n % 7 == 5, 404)
+    body = F.when(n % 5 > 0, F.col("props").cast("binary"))
+    return table(spark, sf_dir, "events").select("event_id", fetch.ok(error, status, body).alias("ok"), stats.error_type(error).alias("error_type"))
+
+
+def _scratch(spark, name: str) -> str:
+    import uuid
+
+    from .plans.storage import folder
+
+    return f"{folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@query(r"SELECT CAST(doc_id AS VARCHAR) AS doc_id, sha1(text) AS text_sha1, source AS source_domain, CAST(NULL AS VARCHAR) AS title, '{}' AS metadata FROM documents WHERE doc_id % 3 > 0")
+def documents_from_json_lines(spark, sf_dir):
+    """Documents written as JSON lines, a third of the lines cut short, and read back leniently."""
+    from .sources import readers
+    from .sources.crawl_store import json_lines
+
+    path = _scratch(spark, "documents")
+    lines = json_lines(_docs(spark, sf_dir).select("doc_id", F.col("doc_id").cast("string").alias("id"), "text", F.concat(F.lit(" "), "source").alias("source_domain"), F.lit(" ").alias("title")).drop("doc_id"))
+    lines.withColumn("value", F.when(F.get_json_object("value", "$.id").cast("long") % 3 == 0, F.left("value", F.length("value") - 1)).otherwise(F.col("value"))).write.text(path)
+    return readers.read_documents(spark, path).select("doc_id", F.sha1("text").alias("text_sha1"), "source_domain", "title", "metadata")
+
+
+@query("SELECT CAST(item_id AS VARCHAR) AS id, trim(text) AS question FROM benchmark")
+def query_file(spark, sf_dir):
+    from .sources import readers
+
+    path = _scratch(spark, "queries")
+    listed = table(spark, sf_dir, "benchmark").agg(F.to_json(F.collect_list(F.struct(F.col("item_id").cast("string").alias("id"), F.trim("text").alias("question")))).alias("value"))
+    listed.write.text(path)  # one JSON list: a question file
+    return readers.read_queries(spark, path).select("id", "question")
+
+
+@query("SELECT vec_id AS row_id, 'c' || label AS chunk_uid, CAST(embedding[1] AS DOUBLE) AS head, len(embedding) AS size, first_id AS shown FROM embeddings JOIN (SELECT label, min(vec_id) AS first_id FROM embeddings GROUP BY 1) USING (label)")
+def embedding_store(spark, sf_dir):
+    """Vectors written with row map and chunk store and read back, checked; a uid shows its first row's payload."""
+    from .sources import readers
+
+    path = _scratch(spark, "vectors")
+    rows = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("row_id"), F.concat(F.lit("c"), "label").alias("chunk_uid"), "embedding", F.col("vec_id").alias("shown"))
+    readers.write_embedded(rows, path, 64)
+    vectors, payload = readers.read_embedded(spark, path)
+    return vectors.join(payload, "row_id").select("row_id", "chunk_uid", F.col("embedding")[0].cast("double").alias("head"), F.size("embedding").cast("long").alias("size"), "shown")
+
+
+@query("SELECT DISTINCT source AS url FROM documents")
+def visited_manifest(spark, sf_dir):
+    """Two lists of URLs added one after the other: each URL stands once."""
+    from .sources.crawl_store import CrawlStore
+
+    store = CrawlStore(spark, _scratch(spark, "manifest"))
+    urls = _docs(spark, sf_dir).select(F.col("source").alias("url"), "doc_id")
+    for part in (urls.where("doc_id % 2 = 0"), urls):
+        store.append_visited(part.select("url"))
+    return store.visited()
+
+
 # URLs and pages
 
 _CANON = r"""regexp_extract(lower({u}), '^(https?://[^/?#]+)', 1) || coalesce(nullif(rtrim(regexp_extract({u}, '^https?://[^/?#]+([^?#]*)', 1), '/'), ''), '/') ||
@@ -388,6 +470,20 @@ def link_extract(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", F.posexplode(U.links(F.col("html"))).alias("position", "href")).withColumn("position", F.col("position").cast("long"))
 
 
+@query(r"""WITH h AS (SELECT page_id, regexp_extract_all(regexp_replace(html, '<li><a [^>]*>', '', 'g'), '<a\s[^>]*?href="([^"]*)"', 1) AS h FROM pages) SELECT page_id, CAST(unnest(range(len(h))) AS BIGINT) AS position, unnest(h) AS href FROM h""")
+def link_nofollow(spark, sf_dir):
+    """The links of lists marked nofollow: only the others are found."""
+    marked = F.regexp_replace("html", "<li><a ", '<li><a rel="external nofollow" ')
+    return table(spark, sf_dir, "pages").select("page_id", F.posexplode(U.links(marked)).alias("position", "href")).withColumn("position", F.col("position").cast("long"))
+
+
+@query(f"SELECT page_id, 'raw/html/' || {_HOST} || '/' || sha256(url) || '.html' AS path FROM pages")
+def raw_paths(spark, sf_dir):
+    from .sources.readers import raw_path
+
+    return table(spark, sf_dir, "pages").select("page_id", raw_path(F.col("url"), F.lit("html")).alias("path"))
+
+
 _TARGET = _CANON.format(u="t")
 _EDGES = rf"""targets AS (SELECT page_id, {_URL} AS from_url, k, regexp_extract(url, '^(https?://[^/?#]+)', 1) || href AS t FROM ({_LINKS}) WHERE starts_with(href, '/')),
 edges AS (SELECT page_id, from_url, to_url, min(k) AS k FROM (SELECT page_id, from_url, {_TARGET} AS to_url, k FROM targets) GROUP BY ALL)"""
@@ -560,6 +656,12 @@ def pdf_line_filter(spark, sf_dir):
     return marked.groupBy(F.col("doc_id").alias("pdf")).agg(F.count(F.lit(1)).alias("n_lines"), F.count_if(F.col("drop") == "boilerplate").alias("n_boilerplate"), F.count_if(F.col("drop") == "repeated").alias("n_repeated"))
 
 
+@query(r"""SELECT pdf AS doc_id, sum(len(regexp_extract_all(text, '[A-Za-z0-9'']+'))) < 30 OR sum(length(text)) < 180 AS low_signal FROM (SELECT doc_id // 10 AS pdf, doc_id % 10 AS page, text, row_number() OVER (PARTITION BY doc_id // 10 ORDER BY doc_id) AS k FROM documents) WHERE k <= 2 GROUP BY 1""")
+def pdf_low_signal(spark, sf_dir):
+    """Of each document the first two pages."""
+    return pdf.low_signal(pdf.page_window(_pdf_pages(spark, sf_dir), 2))
+
+
 def _profile(p: pdf.Profile) -> str:
     return f"length(chunk) >= {p.min_chars} AND len(tok) >= {p.min_words} AND alpha / solid >= {p.min_alpha} AND digits / solid <= {p.max_digit} AND punct / solid <= {p.max_punctuation} AND (len(tok) < 18 OR len(list_distinct(list_transform(tok, lambda t: lower(t)))) / len(tok) >= {p.min_unique})"
 
