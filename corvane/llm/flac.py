@@ -1,13 +1,15 @@
 """FLAC media columns: bytes stored losslessly as 8-bit mono samples, read back with checksums verified.
 
 The writer makes one stream for each payload: STREAMINFO, a SEEKTABLE with the sample and byte offset of every frame,
-and frames of BLOCK samples with a fixed linear predictor (order 0 to 2, the cheapest) and Rice-coded residuals. The
-reader takes frames by the seek table, checks CRC-8 and CRC-16 of every frame and the MD5 of the samples, decodes all
-frames of a batch side by side, and yields PCM blocks with their sample offsets. Streams that others made, with
-partitions, LPC, constant or verbatim subframes, go through `decode_stream`, which reads any mono 8-bit stream.
+and frames of BLOCK samples with the cheapest of the fixed predictors of order 0 to 2 and a linear predictor of order
+ORDER, fitted to the frame, and Rice-coded residuals. The reader takes frames by the seek table, checks CRC-8 and CRC-16
+of every frame and the MD5 of the samples, decodes all frames of a batch side by side, and yields PCM blocks with their
+sample offsets; `seek` reads from a sample on without decoding what stands before. Streams that others made, with
+partitions, other orders, constant or verbatim subframes, go through `decode_stream`, which reads any mono 8-bit stream.
 
 A payload is the UTF-8 text followed by zero bytes up to a positive multiple of 64; null and empty texts are 64 zero
-bytes. Equal texts give equal streams. A damaged stream raises ValueError. Extra columns are left behind.
+bytes. Equal texts give equal streams. A damaged stream raises ValueError. Rows without a doc_id and extra columns are
+left behind; rows that repeat a doc_id are kept.
 """
 
 from __future__ import annotations
@@ -20,9 +22,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import over_batches, texts
+from .common import over_batches, stored, texts
 
 BLOCK = 4096
+#: The fitted predictor: its order, bits of a coefficient, and the right shift of its sum.
+ORDER, PRECISION, SHIFT = 4, 12, 8
+#: The media table is packed once more, in pages large enough to meet copies of a text.
+PACKED = {"compression": "zstd", "parquet.compression.codec.zstd.level": "9", "parquet.page.size": str(8 << 20), "parquet.block.size": str(32 << 20)}
 #: Bytes of payload encoded and decoded side by side.
 SLICE = 2 << 20
 
@@ -104,25 +110,35 @@ def encode_many(payloads: list[bytes]) -> list[bytes]:
         r = residuals[-1].copy()
         r[1:] -= residuals[-1][:-1]
         residuals.append(r)
+    fitted = _fit(x, inside, starts, counts)
+    guess = np.zeros(len(x), np.int64)
+    for j in range(ORDER):
+        guess[j + 1 :] += np.repeat(fitted[:, j], counts)[j + 1 :] * x[: -j - 1]
+    residuals.append((x - (guess >> SHIFT)).astype(np.int32))
     folded, means = [], []
-    for order, r in enumerate(residuals):
+    for order, r in zip((0, 1, 2, ORDER), residuals, strict=True):
         z = np.where(r < 0, -2 * r - 1, 2 * r)
         z[inside < order] = 0
         folded.append(z)
-        means.append(np.add.reduceat(z, starts) / np.maximum(counts - order, 1))
+        means.append(np.add.reduceat(z, starts, dtype=np.float64) / np.maximum(counts - order, 1))
     means = np.stack(means)
-    means[1:, counts < 3] = np.inf
-    order = means.argmin(0)
+    means[1:3, counts < 3] = np.inf
+    means[3, counts < 32] = np.inf
+    means[3] *= 1.02  # its coefficients take room
+    chosen = means.argmin(0)
+    order = np.array([0, 1, 2, ORDER])[chosen]
+    linear = chosen == 3
+    extra = np.where(linear, 9 + ORDER * PRECISION, 0) + 10  # bits between warm-up and codes
     k = np.clip(np.floor(np.log2(np.maximum(means.min(0), 1) * 0.75)), 0, 14).astype(np.int64)
     order_at, k_at = np.repeat(order, counts), np.repeat(k, counts)
-    z = np.choose(order_at, folded).astype(np.int64)
+    z = np.choose(np.repeat(chosen, counts), folded).astype(np.int64)
     coded = inside >= order_at
     z, k_at = z[coded], k_at[coded]
     lengths = (z >> k_at) + 1 + k_at
     values = ((1 << k_at) | z & ((1 << k_at) - 1)).astype(np.uint64)
     codes = counts - order
     first = np.cumsum(codes) - codes
-    bits = 10 + np.add.reduceat(lengths, first)
+    bits = extra + np.add.reduceat(lengths, first)
     heads = [_frame_header(number, n) for _, number, n in frames]
     body = np.array([len(h) for h in heads]) + 1 + order  # whole bytes before the residual section
     frame_bytes = body + -(-bits // 8) + 2
@@ -135,7 +151,7 @@ def encode_many(payloads: list[bytes]) -> list[bytes]:
     running = np.cumsum(frame_bytes) - frame_bytes
     offset = running - np.repeat(running[new], per_doc)  # from the first frame of the stream
     at = doc_at[doc_of] + fronts[doc_of] + offset
-    ends = np.repeat((at + body) * 8 + 10 - (np.cumsum(lengths)[first] - lengths[first]), codes) + np.cumsum(lengths)
+    ends = np.repeat((at + body) * 8 + extra - (np.cumsum(lengths)[first] - lengths[first]), codes) + np.cumsum(lengths)
     words = np.zeros(int(doc_bytes.sum()) // 8 + 2, np.uint64)
     word, shift = (ends - 1) >> 6, (63 - ((ends - 1) & 63)).astype(np.uint64)
     lead = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
@@ -146,10 +162,15 @@ def encode_many(payloads: list[bytes]) -> list[bytes]:
     out = words.astype(">u8").view(np.uint8)[: int(doc_bytes.sum())].copy()
     for f, (head, a, b) in enumerate(zip(heads, at.tolist(), body.tolist(), strict=True)):
         warm = x[starts[f] : starts[f] + order[f]].astype(np.int8).tobytes()
-        out[a : a + b] = np.frombuffer(head + bytes([(8 + int(order[f])) << 1]) + warm, np.uint8)
-        # residual section: method 00, partition order 0000, then the parameter
-        out[a + b] |= int(k[f]) >> 2
-        out[a + b + 1] |= (int(k[f]) & 3) << 6
+        kind = 31 + ORDER if linear[f] else 8 + int(order[f])
+        out[a : a + b] = np.frombuffer(head + bytes([kind << 1]) + warm, np.uint8)
+        front, n = int(k[f]), int(extra[f])  # residual section: method 00, partition order 0000, then the parameter
+        if linear[f]:
+            front |= (PRECISION - 1) << n - 4 | SHIFT << n - 9
+            for j, c in enumerate(fitted[f].tolist()):
+                front |= (c & (1 << PRECISION) - 1) << n - 9 - PRECISION * (j + 1)
+        size = -(-n // 8)
+        out[a + b : a + b + size] |= np.frombuffer((front << 8 * size - n).to_bytes(size, "big"), np.uint8)
     stops = at + frame_bytes - 2
     sums = crc16s(out, at, stops)
     out[stops], out[stops + 1] = sums >> 8, sums & 0xFF
@@ -170,6 +191,28 @@ def encode_many(payloads: list[bytes]) -> list[bytes]:
     return [whole[a : a + n] for a, n in zip(doc_at.tolist(), doc_bytes.tolist(), strict=True)]
 
 
+def _fit(x: np.ndarray, inside: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Quantised coefficients of each frame's linear predictor, from its autocorrelation by Levinson and Durbin."""
+    wide = x.astype(np.float64)
+    r = []
+    for lag in range(ORDER + 1):
+        product = wide.copy()
+        product[lag:] *= wide[: len(wide) - lag]
+        if lag:
+            product[inside < lag] = 0
+        r.append(np.add.reduceat(product, starts))
+    a, error = np.zeros((len(counts), ORDER)), r[0] * (1 + 1e-9) + 1e-9
+    for i in range(ORDER):
+        turn = (r[i + 1] - sum((a[:, j] * r[i - j] for j in range(i)), np.zeros(len(counts)))) / error
+        before = a.copy()
+        for j in range(i):
+            a[:, j] = before[:, j] - turn * before[:, i - 1 - j]
+        a[:, i] = turn
+        error = np.maximum(error * (1 - turn * turn), 1e-9)
+    most = (1 << PRECISION - 1) - 1
+    return np.clip(np.rint(a * (1 << SHIFT)), -most, most).astype(np.int64)
+
+
 def _fronts(stream: bytes) -> tuple[bytes, bytes, int]:
     """STREAMINFO, SEEKTABLE (may be empty) and where the frames begin."""
     if stream[:4] != b"fLaC":
@@ -203,25 +246,39 @@ def decode_many(streams: list[bytes]) -> list[bytes]:
     starts, stops, counts = np.concatenate(starts), np.concatenate(stops), np.concatenate(counts)
     if ((crc16s(data, starts, stops - 2) >> 8 != data[stops - 2]) | (crc16s(data, starts, stops - 2) & 0xFF != data[stops - 1])).any():
         raise ValueError("CRC-16 of a frame differs")
-    body, order = np.empty(len(starts), np.int64), np.empty(len(starts), np.int64)
+    body, order, lead, k = (np.empty(len(starts), np.int64) for _ in range(4))
+    weights = np.zeros((len(starts), ORDER), np.int64)
     for f, (a, n) in enumerate(zip(starts.tolist(), counts.tolist(), strict=True)):
-        lead = int(data[a + 4])
-        wide = 1 if lead < 128 else 8 - (~lead & 0xFF).bit_length()
-        size = 4 + wide + (0 if data[a + 2] == 0xC0 else 2)
+        first = int(data[a + 4])
+        size = 4 + (1 if first < 128 else 8 - (~first & 0xFF).bit_length()) + (0 if data[a + 2] == 0xC0 else 2)
         if crc8(data[a : a + size].tobytes()) != data[a + size]:
             raise ValueError("CRC-8 of a frame differs")
-        kind = int(data[a + size + 1]) >> 1
-        if not 8 <= kind <= 12:
+        kind, at = int(data[a + size + 1]) >> 1, a + size + 2
+        if 8 <= kind <= 10:
+            body[f], order[f], lead[f] = at + kind - 8, kind - 8, 10
+            front = int.from_bytes(data[body[f] : body[f] + 2].tobytes(), "big") >> 6
+        elif kind == 31 + ORDER:
+            body[f], order[f], lead[f] = at + ORDER, ORDER, 19 + ORDER * PRECISION
+            room = -(-int(lead[f]) // 8)
+            front = int.from_bytes(data[body[f] : body[f] + room].tobytes(), "big") >> 8 * room - int(lead[f])
+            top = front >> int(lead[f]) - 9
+            if top != (PRECISION - 1) << 5 | SHIFT:
+                raise ValueError("a predictor of another form; use decode_stream")
+            for j in range(ORDER):
+                c = front >> int(lead[f]) - 9 - PRECISION * (j + 1) & (1 << PRECISION) - 1
+                weights[f, j] = c - (c >> PRECISION - 1 << PRECISION)
+        else:
             raise ValueError("a subframe of another kind; use decode_stream")
-        body[f], order[f] = a + size + 2 + kind - 8, kind - 8
-    k = ((data[body].astype(np.int64) & 3) << 2) | data[body + 1] >> 6
+        if front >> 4 & 63:
+            raise ValueError("residuals of another form; use decode_stream")
+        k[f] = front & 15
     wide = np.zeros(len(data), np.uint64)
     for shift in range(8):
         wide[: len(data) - shift] |= data[shift:].astype(np.uint64) << np.uint64(56 - 8 * shift)
     by_size = np.argsort(-counts, kind="stable")
     longest = int(counts.max())
     grid = np.zeros((longest, len(counts)), np.int32)
-    p, kk = (body * 8 + 10)[by_size], k[by_size]
+    p, kk = (body * 8 + lead)[by_size], k[by_size]
     todo = (counts - order)[by_size]
     todo_order = np.argsort(-todo, kind="stable")
     by_size, p, kk, todo = by_size[todo_order], p[todo_order], kk[todo_order], todo[todo_order]
@@ -243,7 +300,7 @@ def decode_many(streams: list[bytes]) -> list[bytes]:
     out[by_size] = grid.T
     flat = np.empty(int(counts.sum()), np.uint8)
     ends = np.cumsum(counts)
-    for f in range(len(counts)):  # a frame at a time: predictors of different orders
+    for f in np.flatnonzero(order < ORDER).tolist():  # a frame at a time: sums of different orders
         n, o = int(counts[f]), int(order[f])
         r = out[f, : n - o]
         if o:
@@ -252,6 +309,25 @@ def decode_many(streams: list[bytes]) -> list[bytes]:
             for j in reversed(range(o)):
                 r = np.cumsum(np.concatenate([[seeds[j]], r]))[1:] if j else np.concatenate([warm, np.cumsum(np.concatenate([[seeds[0]], r]))[1:]])
         flat[ends[f] - n : ends[f]] = (r + 128).astype(np.uint8)
+    fitted = np.flatnonzero(order == ORDER)
+    if len(fitted):  # a sample at a time of all such frames, the longest first
+        fitted = fitted[np.argsort(-counts[fitted], kind="stable")]
+        n, w = counts[fitted], weights[fitted]
+        pcm = np.zeros((int(n[0]), len(fitted)), np.int64)
+        for j in range(ORDER):
+            pcm[j] = data[body[fitted] - ORDER + j].view(np.int8)
+        residual = np.ascontiguousarray(out[fitted].T).astype(np.int64)
+        going = np.searchsorted(-n, -np.arange(int(n[0])), side="left")
+        columns = [np.ascontiguousarray(w[:, j]) for j in range(ORDER)]
+        for t in range(ORDER, int(n[0])):
+            m = int(going[t])
+            total = columns[0][:m] * pcm[t - 1, :m]
+            for j in range(1, ORDER):
+                total += columns[j][:m] * pcm[t - 1 - j, :m]
+            pcm[t, :m] = residual[t - ORDER, :m] + (total >> SHIFT)
+        samples = (pcm.T + 128).astype(np.uint8)
+        for row, f in enumerate(fitted.tolist()):
+            flat[ends[f] - counts[f] : ends[f]] = samples[row, : counts[f]]
     whole, result, a = flat.tobytes(), [], 0
     for n, digest in zip(totals, digests, strict=True):
         part = whole[a : a + n]
@@ -300,35 +376,40 @@ FIXED = ((), (1,), (2, -1), (3, -3, 1), (4, -6, 4, -1))
 BLOCK_SIZES = {1: 192, 2: 576, 3: 1152, 4: 2304, 5: 4608} | {8 + n: 256 << n for n in range(8)}
 
 
+def _frame(stream: bytes, at: int) -> tuple[bytes, int]:
+    """Samples of the frame that begins at a byte, and where the next one begins; checksums verified."""
+    bits = _Bits(stream, at)
+    if bits.take(14) != 0x3FFE:
+        raise ValueError("a frame is missing")
+    bits.take(2)
+    size_code, rate_code = bits.take(4), bits.take(4)
+    if bits.take(4) != 0:
+        raise ValueError("more than one channel")
+    bits.take(4)
+    lead = bits.take(8)
+    for _ in range(0 if lead < 128 else 7 - (~lead & 0xFF).bit_length()):
+        bits.take(8)
+    n = bits.take(8 * (size_code - 5)) + 1 if size_code in (6, 7) else BLOCK_SIZES[size_code]
+    bits.take({12: 8, 13: 16, 14: 16}.get(rate_code, 0))
+    if crc8(stream[at : bits.at >> 3]) != bits.take(8):
+        raise ValueError("CRC-8 of a frame differs")
+    block = _subframe(bits, n)
+    bits.at = bits.at + 7 & ~7
+    stop = bits.at >> 3
+    if int(crc16s(np.frombuffer(stream, np.uint8), np.array([at]), np.array([stop]))[0]) != bits.take(16):
+        raise ValueError("CRC-16 of a frame differs")
+    return np.array(block, np.int8).tobytes(), stop + 2
+
+
 def decode_stream(stream: bytes):
     """(sample offset, PCM block) of each frame of any mono 8-bit stream, in order; checksums verified."""
     info, _, at = _fronts(stream)
     total, done, seen = int.from_bytes(info[10:18], "big") & (1 << 36) - 1, 0, hashlib.md5()
     while done < total:
-        bits = _Bits(stream, at)
-        if bits.take(14) != 0x3FFE:
-            raise ValueError("a frame is missing")
-        bits.take(2)
-        size_code, rate_code = bits.take(4), bits.take(4)
-        if bits.take(4) != 0:
-            raise ValueError("more than one channel")
-        bits.take(4)
-        lead = bits.take(8)
-        for _ in range(0 if lead < 128 else 7 - (~lead & 0xFF).bit_length()):
-            bits.take(8)
-        n = bits.take(8 * (size_code - 5)) + 1 if size_code in (6, 7) else BLOCK_SIZES[size_code]
-        bits.take({12: 8, 13: 16, 14: 16}.get(rate_code, 0))
-        if crc8(stream[at : bits.at >> 3]) != bits.take(8):
-            raise ValueError("CRC-8 of a frame differs")
-        block = _subframe(bits, n)
-        bits.at = bits.at + 7 & ~7
-        stop = bits.at >> 3
-        if int(crc16s(np.frombuffer(stream, np.uint8), np.array([at]), np.array([stop]))[0]) != bits.take(16):
-            raise ValueError("CRC-16 of a frame differs")
-        pcm = np.array(block, np.int8).tobytes()
+        pcm, at = _frame(stream, at)
         seen.update(pcm)
         yield done, pcm
-        done, at = done + n, stop + 2
+        done += len(pcm)
     if any(info[18:]) and seen.digest() != info[18:]:
         raise ValueError("MD5 of a stream differs")
 
@@ -384,7 +465,7 @@ def slices(items: list[bytes]) -> list[tuple[int, int]]:
 
 
 def store(docs: DataFrame) -> DataFrame:
-    """doc_id, n_bytes, media: the FLAC stream of every whole text."""
+    """doc_id, n_bytes, media: the FLAC stream of every whole text, written to the shared folder."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         raw = batch.column(1).to_pylist()
@@ -392,16 +473,31 @@ def store(docs: DataFrame) -> DataFrame:
         media = [m for a, b in slices(payloads) for m in encode_many(payloads[a:b])]
         return pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(t.encode("utf-8", "surrogatepass")) for t in raw], pa.int64()), pa.array(media, pa.binary())], ["doc_id", "n_bytes", "media"])
 
-    return over_batches(texts(docs), run, "doc_id long, n_bytes long, media binary")
+    return stored(over_batches(texts(docs), run, "doc_id long, n_bytes long, media binary"), "media", **PACKED)
+
+
+def blocks_of(streams: list[bytes]) -> list[list[tuple[int, bytes]]]:
+    """(sample offset, unsigned PCM) blocks of each stream, in order."""
+    return [[(at, p[at : at + BLOCK]) for at in range(0, len(p), BLOCK)] for a, b in slices(streams) for p in decode_many(streams[a:b])]
+
+
+def seek(stream: bytes, sample: int) -> tuple[int, bytes]:
+    """(sample offset, unsigned PCM) of the frame that holds a sample, found by the seek table; its checksums verified."""
+    _, table, front = _fronts(stream)
+    points = [(int.from_bytes(table[k : k + 8], "big"), int.from_bytes(table[k + 8 : k + 16], "big"), int.from_bytes(table[k + 16 : k + 18], "big")) for k in range(0, len(table), 18)]
+    found = max((p for p in points if p[0] <= sample), default=None)
+    if found is None or sample >= found[0] + found[2]:
+        raise ValueError("no such sample")
+    return found[0], bytes(b ^ 128 for b in _frame(stream, front + found[1])[0])
 
 
 def read_back(media: DataFrame) -> DataFrame:
-    """The stored streams decoded: digests of payload and media, and a feature of the samples."""
+    """The stored streams decoded to PCM blocks: digests of payload and media, and a feature of the samples."""
     schema = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         streams = batch.column(2).to_pylist()
-        pcm = [p for a, b in slices(streams) for p in decode_many(streams[a:b])]
+        pcm = [b"".join([block for _, block in blocks]) for blocks in blocks_of(streams)]
         columns = [
             batch.column(0), batch.column(1), pa.array([len(p) for p in pcm], pa.int64()), pa.array([hashlib.sha256(p).hexdigest() for p in pcm]),
             pa.array([zlib.crc32(p[-64:]) for p in pcm], pa.int64()), pa.array([len(m) for m in streams], pa.int64()), pa.array([hashlib.sha256(m).hexdigest() for m in streams]), pa.array([feature(p) for p in pcm]),
@@ -415,8 +511,7 @@ def pcm_blocks(media: DataFrame) -> DataFrame:
     """doc_id, sample_offset, pcm: seekable blocks of unsigned samples."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        streams = batch.column(1).to_pylist()
-        rows = [(doc, at, p[at : at + BLOCK]) for a, b in slices(streams) for doc, p in zip(batch.column(0).to_pylist()[a:b], decode_many(streams[a:b]), strict=True) for at in range(0, len(p), BLOCK)]
+        rows = [(doc, at, pcm) for doc, blocks in zip(batch.column(0).to_pylist(), blocks_of(batch.column(1).to_pylist()), strict=True) for at, pcm in blocks]
         return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.binary())], ["doc_id", "sample_offset", "pcm"])
 
     return over_batches(media.select("doc_id", "media"), run, "doc_id long, sample_offset long, pcm binary")
