@@ -14,15 +14,17 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from .common import over_batches, texts
-from .memo import LETTERS, Memo, Units, lettered, pre_tokens
+from .memo import LETTERS, Units, checked, lettered, pre_tokens
 
 #: Written in front of the vocabulary; sentencepiece asks for one unknown piece.
 UNKNOWN = "⁇unknown"
 #: Entries of each memo's generation; memos are emptied when a task ends, as the worker may serve another stage next.
-KEPT = 100_000
+KEPT = 150_000
+_PACK = [struct.Struct(f"<{n}I").pack for n in range(64)]
 
 
 def read_ranks(path: str) -> list[bytes]:
@@ -67,39 +69,45 @@ class ByteBPE:
     """Encodes texts to ids and ids to bytes, as the rank file says."""
 
     def __init__(self, rank_path: str, pattern: str):
-        import regex
         import sentencepiece
 
         self.tokens = read_ranks(rank_path)
         self.rank = {token: rank for rank, token in enumerate(self.tokens)}
         self.processor = sentencepiece.SentencePieceProcessor(model_proto=serialise(self.tokens))
-        self.words = regex.compile(pattern).findall
-        self.pieces = Memo(self._piece, KEPT)
-        self.units = Units(self._unit, KEPT)
+        self.words = checked(pattern)
+        self.decimals = [str(k).encode() for k in range(len(self.tokens))]
+        self.units = Units(self._units, KEPT)
         inverse = {letter: b for b, letter in enumerate(LETTERS)}
         back = [bytes(inverse[c] for c in self.processor.id_to_piece(i + 1)) for i in range(len(self.tokens))]
         self.lengths = np.array([len(x) for x in back], np.int64)
         self.offsets = np.concatenate([[0], np.cumsum(self.lengths)[:-1]])
         self.flat = np.frombuffer(b"".join(back), np.uint8)
 
-    def _piece(self, word: str) -> tuple[bytes, str]:
-        whole = self.rank.get(word.encode())
-        ids = [whole] if whole is not None else [i - 1 for i in self.processor.encode(lettered(word))]
-        return struct.pack(f"<{len(ids)}I", *ids), " ".join(map(str, ids))
-
-    def _unit(self, unit: str) -> tuple[bytes, str]:
-        found = [self.pieces[word] for word in pre_tokens(unit, self.words)]
-        return found[0] if len(found) == 1 else (b"".join([x[0] for x in found]), " ".join([x[1] for x in found]))
+    def _units(self, units: list[str]) -> list[tuple[bytes, bytes]]:
+        """A word that is a token is its rank; all others go through the model at once."""
+        words = [pre_tokens(unit, self.words) for unit in units]
+        flat = [w for ws in words for w in ws]
+        whole = [self.rank.get(word.encode()) for word in flat]
+        coded = iter(self.processor.encode([lettered(word) for word, rank in zip(flat, whole, strict=True) if rank is None], num_threads=1))
+        known, decimals, out = iter(whole), self.decimals, []
+        for ws in words:
+            ids: list[int] = []
+            for _ in ws:
+                rank = next(known)
+                if rank is None:
+                    ids += [i - 1 for i in next(coded)]
+                else:
+                    ids.append(rank)
+            out.append((_PACK[len(ids)](*ids) if len(ids) < 64 else np.array(ids, "<u4").tobytes(), b" ".join([decimals[i] for i in ids])))
+        return out
 
     def forget(self) -> None:
-        for memo in (self.pieces, self.units.first, self.units.later):
-            memo.clear()
-            memo.old = {}
+        self.units.forget()
 
-    def encode(self, text: str) -> tuple[bytes, str]:
-        """Ids as little-endian 32-bit integers, and as decimals joined by a space."""
-        found = self.units.of(text)
-        return b"".join([x[0] for x in found]), " ".join([x[1] for x in found])
+    def encode(self, texts: pa.Array) -> tuple[pa.Array, pa.Array]:
+        """Of each text its ids as little-endian 32-bit integers, and as decimals joined by a space."""
+        ids, shown = self.units.joined(texts, (b"", b" "))
+        return ids, shown
 
     def decode(self, ids: np.ndarray) -> tuple[bytes, np.ndarray]:
         """Bytes of all ids, and the end of each id's bytes."""
@@ -118,17 +126,21 @@ def codec(rank_path: str, pattern: str) -> ByteBPE:
     return ByteBPE(rank_path, pattern)
 
 
+def _coded(bpe: ByteBPE, texts: pa.Array) -> tuple[pa.Array, pa.Array, np.ndarray, list[bytes]]:
+    """Ids, their decimals, their number, and the decoded bytes of each text."""
+    ids, shown = bpe.encode(texts)
+    sizes = pc.binary_length(ids).to_numpy(zero_copy_only=False).astype(np.int64) // 4
+    every, ends = bpe.decode(np.frombuffer(b"".join(ids.to_pylist()), "<u4"))
+    stops = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(sizes)])].tolist()
+    return ids, shown, sizes, [every[a:b] for a, b in zip(stops, stops[1:], strict=False)]
+
+
 def encode_decode(docs: DataFrame, rank_path: str, pattern: str) -> DataFrame:
     """doc_id, ids (little-endian 32-bit), ids_text (decimals), decoded (bytes) of every whole text."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        bpe = codec(rank_path, pattern)
-        coded = [bpe.encode(text) for text in batch.column(1).to_pylist()]
-        every, ends = bpe.decode(np.frombuffer(b"".join([x[0] for x in coded]), "<u4"))
-        counts = np.cumsum([len(x[0]) // 4 for x in coded])
-        stops = [0, *(int(ends[n - 1]) if n else 0 for n in counts)]
-        decoded = [every[a:b] for a, b in zip(stops, stops[1:], strict=False)]
-        return pa.RecordBatch.from_arrays([batch.column(0), pa.array([x[0] for x in coded], pa.binary()), pa.array([x[1] for x in coded], pa.string()), pa.array(decoded, pa.binary())], ["doc_id", "ids", "ids_text", "decoded"])
+        ids, shown, _, decoded = _coded(codec(rank_path, pattern), batch.column(1))
+        return pa.RecordBatch.from_arrays([batch.column(0), ids, shown.cast(pa.string()), pa.array(decoded, pa.binary())], ["doc_id", "ids", "ids_text", "decoded"])
 
     return over_batches(texts(docs), run, "doc_id long, ids binary, ids_text string, decoded binary", lambda: codec(rank_path, pattern).forget())
 
@@ -137,13 +149,9 @@ def digests(docs: DataFrame, rank_path: str, pattern: str) -> DataFrame:
     """As encode_decode, but hashed where the ids are made: doc_id, n_tokens, ids_sha256, decoded_sha256."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        bpe = codec(rank_path, pattern)
-        coded = [bpe.encode(text) for text in batch.column(1).to_pylist()]
-        every, ends = bpe.decode(np.frombuffer(b"".join([x[0] for x in coded]), "<u4"))
-        sizes = np.array([len(x[0]) // 4 for x in coded], np.int64)
-        stops = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(sizes)])]
-        sha = [hashlib.sha256(x[1].encode()).hexdigest() for x in coded]
-        back = [hashlib.sha256(every[a:b]).hexdigest() for a, b in zip(stops, stops[1:], strict=False)]
+        _, shown, sizes, decoded = _coded(codec(rank_path, pattern), batch.column(1))
+        sha = [hashlib.sha256(x).hexdigest() for x in shown.to_pylist()]
+        back = [hashlib.sha256(x).hexdigest() for x in decoded]
         return pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes), pa.array(sha), pa.array(back)], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     return over_batches(texts(docs), run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string", lambda: codec(rank_path, pattern).forget())
