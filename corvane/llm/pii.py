@@ -153,7 +153,7 @@ def _other(rng: np.random.Generator, word) -> str:
     d = lambda n: "".join(map(str, rng.integers(0, 10, n)))
     forms = (
         lambda: d(int(rng.integers(1, 13))), lambda: f"{d(1)}.{d(1)}", lambda: f"{d(1)}.{d(1)}.{d(1)}", lambda: f"20{d(2)}-{d(2)}-{d(2)}", lambda: f'"{rng.integers(0, 2**62):x}"', lambda: f"{d(2)}:{d(2)}",
-        lambda: f"{word()}{d(3)}{word().upper()}{d(2)}", lambda: f"@{word()} + {word()}={d(2)}", lambda: f"{word()} at {word()}", lambda: f"{word()} dot {word()}", lambda: f"{d(3)},{d(3)},{d(3)}", lambda: f"{d(2)}/{d(2)}/20{d(2)}", lambda: f"${d(4)}.{d(2)}",
+        lambda: f"{word()}{d(3)}{word().upper()}{d(2)}", lambda: f"@{word()} + {word()}={d(2)}", lambda: f"{word()} at {word()}", lambda: f"{word()} dot {word()}", lambda: f"{word()} at {word()} dot {word()}", lambda: f"{d(3)},{d(3)},{d(3)}", lambda: f"{d(2)}/{d(2)}/20{d(2)}", lambda: f"${d(4)}.{d(2)}",
     )
     return forms[rng.integers(0, len(forms))]()
 

@@ -71,9 +71,44 @@ def op10_flac_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flac.read_back(flac.store(table(spark, sf_dir, "documents")))
 
 
+def mixing_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of op1 that SQL can say, from the same operator."""
+    return op1_context_mixing(spark, sf_dir).select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", F.round("base_score", 6).alias("base_score"))
+
+
+def pii_base_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of op7 that SQL can say, from the same operator."""
+    return op7_personal_data(spark, sf_dir).select("doc_id", *(f"n_{k}" for k in pii.KINDS))
+
+
+def flac_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of op10 that SQL can say, from the same operator."""
+    return op10_flac_media(spark, sf_dir).select("doc_id", "n_bytes", "payload_bytes", "payload_sha256")
+
+
+SQL = {
+    "mixing_base": r"""WITH t AS (SELECT doc_id, list_append(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), chr(10)) AS w FROM documents),
+h AS (SELECT doc_id, w, held FROM t JOIN (SELECT doc_id, HELD AS held FROM documents) USING (doc_id)), c AS (SELECT word, count(*) AS c FROM (SELECT unnest(w) AS word FROM h WHERE NOT held) GROUP BY 1), n AS (SELECT sum(c) AS n, count(*) AS v FROM c),
+e AS (SELECT doc_id, held, unnest(w) AS word FROM h) SELECT doc_id, held AS held_out, count(*) AS n_tokens, count(c.c) AS n_known, CAST(any_value(n.n) AS BIGINT) AS train_tokens, round(sum(log10((coalesce(c.c, 0) + 0.5) / (n.n + 0.5 * (n.v + 1)))), 6) AS base_score FROM e LEFT JOIN c USING (word), n GROUP BY 1, 2""",
+    "pii_base_counts": r"""WITH m AS (SELECT doc_id, regexp_extract_all(t, '[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+') AS e, regexp_extract_all(t, '[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)') AS i, regexp_extract_all(t, '[0-9]([\x20-]?[0-9])+') AS c, regexp_extract_all(t, '\+[0-9][\x20().0-9-]+[0-9]') AS p FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents)),
+d AS (SELECT doc_id, e, i, list_transform(c, lambda x: reverse(regexp_replace(x, '[^0-9]', '', 'g'))) AS c, p FROM m)
+SELECT doc_id, CAST(len(e) AS BIGINT) AS n_email, CAST(len(list_filter(i, lambda x: len(list_filter(string_split(x, '.'), lambda y: length(ltrim(y, '0')) > 3 OR CAST('0' || right(y, 3) AS INT) > 255)) = 0)) AS BIGINT) AS n_ip,
+CAST(len(list_filter(c, lambda x: length(x) BETWEEN 13 AND 19 AND list_sum(list_transform(range(1, length(x) + 1), lambda k: CASE WHEN k % 2 = 1 THEN CAST(x[k] AS INT) WHEN CAST(x[k] AS INT) > 4 THEN 2 * CAST(x[k] AS INT) - 9 ELSE 2 * CAST(x[k] AS INT) END)) % 10 = 0)) AS BIGINT) AS n_card,
+CAST(len(list_filter(p, lambda x: length(regexp_replace(x, '[^0-9]', '', 'g')) BETWEEN 9 AND 15)) AS BIGINT) AS n_phone FROM d""",
+    "flac_payload": r"""WITH p AS (SELECT doc_id, encode(coalesce(text, '')) AS b FROM documents), s AS (SELECT doc_id, b, octet_length(b) AS n, greatest(64, CAST(ceil(octet_length(b) / 64.0) AS BIGINT) * 64) AS size FROM p)
+SELECT doc_id, n AS n_bytes, size AS payload_bytes, sha256(b || repeat('\x00'::BLOB, CAST(size - n AS BIGINT))) AS payload_sha256 FROM s""",
+}
+
+
+#: crc32 of doc_id's decimal text, a bit at a time.
+_CRC = """xor(list_reduce(list_transform(range(1, length(CAST(doc_id AS VARCHAR)) + 1), lambda k: CAST(ascii(CAST(doc_id AS VARCHAR)[k]) AS BIGINT)), lambda a, b: list_reduce(range(8), lambda s, k: CASE WHEN (s & 1) = 1 THEN xor(s >> 1, 3988292384) ELSE s >> 1 END, xor(a, b)), CAST(4294967295 AS BIGINT)), 4294967295)"""
+SQL["mixing_base"] = SQL["mixing_base"].replace("HELD AS", f"{_CRC} % 5 = 1 AS")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_context_mixing, op2_language_id, op3_byte_bpe, op4_license_scan, op5_decontamination, op6_token_planes, op7_personal_data, op8_rule_ensemble, op9_simhash_groups, op10_flac_media)}
+    operators = (op1_context_mixing, op2_language_id, op3_byte_bpe, op4_license_scan, op5_decontamination, op6_token_planes, op7_personal_data, op8_rule_ensemble, op9_simhash_groups, op10_flac_media)
+    return {f.__name__: f for f in (*operators, mixing_base, pii_base_counts, flac_payload)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(SQL)
