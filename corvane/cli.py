@@ -177,17 +177,19 @@ def _answered(spark, questions: DataFrame, a, generator=classify.first_sentence)
 
 
 def answer(a) -> str:
-    """Answers to a file of questions, as one JSON object."""
+    """Answers to a file of questions, as one JSON object behind the given heads."""
     spark = session("answer")
     if a.max_queries is not None and a.max_queries <= 0:
         raise ValueError("max_queries must be positive")
+    if any("=" not in pair for pair in a.head):
+        raise ValueError("a head is KEY=VALUE")
     asked = readers.read_queries(spark, a.queries)
     asked = stored(asked if a.max_queries is None else asked.orderBy("ord").limit(a.max_queries), "questions")
     questions = asked.select(F.col("ord").alias("query_id"), F.col("question").alias("text"))
     if a.closed_book:
         a.mode = "closed_book"
     done = _answered(spark, questions, a).join(asked.select(F.col("ord").alias("query_id"), "id"), "query_id").orderBy("query_id")
-    head = {"andrewid": a.andrewid} if a.andrewid else {}
+    head = dict(pair.split("=", 1) for pair in a.head)
     return readers.answers_json(((r.id, r.answer) for r in done.toLocalIterator()), **head)
 
 
@@ -236,7 +238,7 @@ def parser() -> argparse.ArgumentParser:
     add(index, input=..., output=..., k1=1.5, b=0.75, epsilon=0.25, token_pattern=T.TOKEN, keep_case=False, min_token_len=1, dedup_repeated_lines=False, max_chunks=int)
     add(embed, input=..., output=..., dedup_repeated_lines=False, max_chunks=int)
     add(search, query=..., mode=("sparse", "dense", "hybrid"), no_text=False, **look)
-    add(answer, queries=..., mode=("sparse", "dense", "hybrid", "closed_book"), closed_book=False, max_queries=int, andrewid=str, **look | {"top_k": 3})
+    add(answer, queries=..., mode=("sparse", "dense", "hybrid", "closed_book"), closed_book=False, max_queries=int, head=[], **look | {"top_k": 3})
     add(ask, mode=("sparse", "dense", "hybrid", "closed_book"), **look | {"top_k": 3})
     return top
 

@@ -128,9 +128,9 @@ def test_cli(spark, tmp_path, capsys):
         assert said["num_results"] == 2 and said["results"][0]["metric"] == metric and said["results"][0]["title"].startswith("T")
     (tmp_path / "q.json").write_text(json.dumps([{"id": "1", "question": "apples number 3"}, {"id": "2", "question": "fox 4"}]))
     for mode in ("sparse", "dense", "hybrid", "closed_book"):
-        assert cli.main(["answer", "--queries", str(tmp_path / "q.json"), "--mode", mode, "--andrewid", "me", "--max-queries", "1", *both]) == 0
+        assert cli.main(["answer", "--queries", str(tmp_path / "q.json"), "--mode", mode, "--head", "who=me", "--max-queries", "1", *both]) == 0
         said = json.loads(capsys.readouterr().out)
-        assert set(said) == {"andrewid", "1"} and (said["1"] == "") == (mode == "closed_book")
+        assert set(said) == {"who", "1"} and (said["1"] == "") == (mode == "closed_book")
     assert cli.main(["answer", "--queries", str(tmp_path / "q.json"), "--mode", "dense", "--index", str(tmp_path / "i")]) == 2
     assert "needs --vectors" in capsys.readouterr().err
     a = cli.parser().parse_args(["ask", "--mode", "sparse", *both])
