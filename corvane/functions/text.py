@@ -6,6 +6,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 SPACE = r"(?U)[\s\x1c-\x1f]+"
+#: What is no white space, and a place with none of it before or behind.
+SOLID = r"[^\s\x1c-\x1f]"
 SENTENCE_END = r"(?<=[.!?])\s+"
 TOKEN = "[A-Za-z0-9_]+"
 
@@ -19,7 +21,7 @@ def words(text: Column) -> Column:
 
 
 def word_count(text: Column) -> Column:
-    return F.size(words(text)).cast("long")
+    return F.regexp_count(text, F.lit(f"(?U){SOLID}+")).cast("long")
 
 
 def char_count(text: Column) -> Column:
@@ -61,7 +63,7 @@ def tokens(text: Column, pattern: str = TOKEN, lowercase: bool = True, min_lengt
 
 def token_count(text: Column, pattern: str) -> Column:
     """White-space tokens that match the whole pattern."""
-    return F.size(F.filter(words(text), lambda w: w.rlike(f"^(?:{pattern})$"))).cast("long")
+    return F.regexp_count(text, F.lit(f"(?U)(?<!{SOLID})(?:{pattern})(?!{SOLID})")).cast("long")
 
 
 def quality_text(text: Column, newline: str = " ") -> Column:
@@ -71,8 +73,7 @@ def quality_text(text: Column, newline: str = " ") -> Column:
 
 def token_share(text: Column, pattern: str) -> Column:
     """Share of white-space tokens that match the whole pattern; 0 without tokens."""
-    found = words(text)
-    return F.coalesce(F.try_divide(F.size(F.filter(found, lambda w: w.rlike(f"^(?:{pattern})$"))).cast("double"), F.size(found)), F.lit(0.0))
+    return F.coalesce(F.try_divide(token_count(text, pattern).cast("double"), word_count(text)), F.lit(0.0))
 
 
 def passage_format(text: Column) -> Column:

@@ -78,7 +78,7 @@ def block_reason(config: ChunkConfig, text=None, label=None, score=None):
     """The first reason to reject a block, or null. label and score: a classifier's columns, or None for no classifier."""
     text = F.col("text") if text is None else text
     pipe, dash = T.token_share(text, r"\|"), T.token_share(text, "-+")
-    shown = lambda x: F.format_string("%.4f", x)
+    shown = lambda x: F.format_string("%.4f", F.bround(x, 4))  # noqa: E731  ties to even, as in shares of 32 words
     reason = (
         F.when(T.collapse(text) == "", F.lit("empty_block"))
         .when(pipe > config.max_pipe_share, F.concat(F.lit("pipe_token_fraction_above_threshold:"), shown(pipe), F.lit(f">{config.max_pipe_share:.4f}")))

@@ -100,7 +100,7 @@ def policies(urls: DataFrame, domains: DataFrame, seeds: DataFrame | None = None
     found = policy_of(urls.select("url", "depth", "seed_url"), own.select("domain", F.struct(*columns).alias("_d")))
     if seeds is not None:
         mine = whole(seeds, "seed_url").select(U.normalize(F.col("seed_url")).alias("seed_url"), F.struct(*columns).alias("_s"))
-        found = found.join(mine, "seed_url", "left")
+        found = found.join(mine.groupBy("seed_url").agg(F.first("_s").alias("_s")), "seed_url", "left")
     else:
         found = found.withColumn("_s", F.lit(None).cast(own.select(F.struct(*columns).alias("_d")).schema["_d"].dataType))
     d, s = F.col("_d"), F.col("_s")

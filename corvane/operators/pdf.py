@@ -66,10 +66,12 @@ def lines(pages: DataFrame) -> DataFrame:
 def drop_repeated(rows: DataFrame, share: float = 0.6, longest: int = 120) -> DataFrame:
     """rows with `drop`: null, boilerplate, or repeated (its key stands on at least max(2, share of the pages), and the
     line is short). Lines without letters or digits share the empty key; boilerplate counts too."""
-    on_pages = rows.groupBy("doc_id", "key").agg(F.countDistinct("page").alias("on_pages"))
+    # one shuffle by document and key; the first line of a key on each page counts the page
+    first = F.row_number().over(Window.partitionBy("doc_id", "key", "page").orderBy("line_no")) == 1
+    counted = rows.repartition("doc_id", "key").withColumn("_first", first.cast("int"))
+    counted = counted.withColumn("on_pages", F.sum("_first").over(Window.partitionBy("doc_id", "key")))
     often = (F.col("on_pages") >= F.greatest(F.lit(2), F.floor(F.col("pages") * share))) & (F.char_length("line") <= longest)
-    joined = rows.join(on_pages, ["doc_id", "key"])
-    return joined.withColumn("drop", F.when(is_boilerplate(F.col("line")), "boilerplate").when(often, "repeated")).drop("on_pages")
+    return counted.withColumn("drop", F.when(is_boilerplate(F.col("line")), "boilerplate").when(often, "repeated")).drop("_first", "on_pages")
 
 
 def join_lines(found: Column, enough: int = 420) -> Column:

@@ -124,7 +124,8 @@ def search(index: Bm25Index, queries: DataFrame, k: int = 5, pad_zero_scores: bo
     settings = index.settings
     cut = queries.select("query_id", settings.tokens(F.col("text"), True).alias("tokens"))
     asked = cut.select("query_id", F.explode("tokens").alias("term")).groupBy("query_id", "term").agg(F.count(F.lit(1)).alias("qf"))
-    weighted = asked.join(index.terms.select("term", "idf"), "term")
+    # written down, so that its true size decides whether it is broadcast to the postings, which then stay where they are
+    weighted = stored(asked.join(index.terms.select("term", "idf"), "term"), "asked")
     scored = index.postings.join(weighted, "term")
     tf, length = F.col("tf"), F.lit(1 - settings.b) + F.lit(settings.b) * F.col("dl") / F.lit(index.avgdl)
     gain = F.col("qf") * F.col("idf") * tf * (settings.k1 + 1) / (tf + settings.k1 * length)

@@ -13,6 +13,7 @@ from .functions import url as U
 from .functions import vector as V
 from .operators import chunking, classify, fetch, frontier, html, pdf, stats
 from .plans import bm25, dense, fusion, rag
+from .plans.storage import stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -115,7 +116,8 @@ def _sequenced(spark, sf_dir):
 def _judged(spark, sf_dir) -> DataFrame:
     docs = _sequenced(spark, sf_dir)
     labels = docs.select(F.col("doc_id").alias("doc_seq"), F.col("lang").alias("label"))
-    return chunking.split_blocks(docs).join(labels, "doc_seq").withColumn("reason", chunking.block_reason(chunking.ChunkConfig(), label=F.col("label")))
+    judged = chunking.split_blocks(docs).join(labels, "doc_seq").withColumn("reason", chunking.block_reason(chunking.ChunkConfig(), label=F.col("label")))
+    return stored(judged, "blocks")  # read more than once
 
 
 def _marked(spark, sf_dir) -> DataFrame:
@@ -450,8 +452,8 @@ def url_scope_filter(spark, sf_dir):
 
 
 @query(f"""WITH pol(domain, backend, most, pause, robots) AS (VALUES ('example.com', 'selenium', 0, 1.5, CAST(NULL AS BOOLEAN)), ('example.net', CAST(NULL AS VARCHAR), NULL, NULL, false), ('cheap-pills.example.com', 'requests', NULL, 9.0, true)),
-h AS (SELECT page_id, {_HOST} AS host FROM pages), m AS (SELECT page_id, domain, backend, most, pause, robots, row_number() OVER (PARTITION BY page_id ORDER BY length(domain) DESC) AS k FROM h JOIN pol ON host = domain OR ends_with(host, '.' || domain))
-SELECT h.page_id, m.domain, CASE WHEN h.page_id % 10 = 0 THEN 'requests' WHEN m.backend = 'selenium' AND h.page_id % 3 > most THEN 'requests' ELSE coalesce(m.backend, 'requests') END AS backend, CAST(CASE WHEN h.page_id % 10 = 0 THEN 0.5 ELSE coalesce(m.pause, 0.2) END AS DOUBLE) AS pause, coalesce(m.robots, true) AS respect_robots, CASE WHEN h.page_id % 10 = 0 THEN 'seed' WHEN m.domain = 'example.net' THEN 'domain' ELSE 'corvane' END AS agent
+h AS (SELECT page_id, {_HOST} AS host, {_URL} IN (SELECT {_URL} FROM pages WHERE page_id % 10 = 0) AS seed FROM pages), m AS (SELECT page_id, domain, backend, most, pause, robots, row_number() OVER (PARTITION BY page_id ORDER BY length(domain) DESC) AS k FROM h JOIN pol ON host = domain OR ends_with(host, '.' || domain))
+SELECT h.page_id, m.domain, CASE WHEN seed THEN 'requests' WHEN m.backend = 'selenium' AND h.page_id % 3 > most THEN 'requests' ELSE coalesce(m.backend, 'requests') END AS backend, CAST(CASE WHEN seed THEN 0.5 ELSE coalesce(m.pause, 0.2) END AS DOUBLE) AS pause, coalesce(m.robots, true) AS respect_robots, CASE WHEN seed THEN 'seed' WHEN m.domain = 'example.net' THEN 'domain' ELSE 'corvane' END AS agent
 FROM h LEFT JOIN m ON h.page_id = m.page_id AND k = 1""")
 def fetch_policy(spark, sf_dir):
     """What is in force for each page: its seed's settings (every tenth page is one), its domain's, the global ones."""
@@ -495,8 +497,6 @@ def link_expand_depth1(spark, sf_dir):
 
 
 def _frontier(spark, sf_dir, domains: DataFrame | None = None, **caps) -> DataFrame:
-    from .plans.storage import stored
-
     pages = table(spark, sf_dir, "pages")
     edges = stored(html.out_links(pages).groupBy("from_url", "to_url").agg(F.min("position").alias("position")), "edges")
     seeds = pages.select(F.col("page_id").alias("ord"), "url")
