@@ -12,9 +12,11 @@ and learned online; an adaptive map of (bit, mixed odds) refines the result, and
 
 All training texts fill the tables: words are counted in one shuffle, every token adds to the contexts across words,
 every distinct word, with each common word it was met behind, to those inside words. Tables have a fixed size and are sums, so neither the number of tasks nor the
-order of rows changes them; what is gathered on the way grows with the corpus. The mixers' weights are fitted in one
-ordered pass over a bounded sample: at most SAMPLE_DOCS texts of up to SAMPLE_BYTES bytes and SAMPLE_WORDS words, chosen
-by hash, each taken out of the counts first; then they stay. The common words are those of the sample. At most HEAD frequent words travel to the workers with
+order of rows changes them; what is gathered on the way grows with the corpus. The common words are those of all training
+texts. The mixers learn from every token, and from every distinct word with each common word it was met behind, each
+taken out of the counts first: rows are dealt by hash to as many slices as their number asks for, each slice is learned
+online in an order fixed by hash, and the slices' mixers are joined, weights by how much each gate has learned, maps as
+sums; then they stay. At most HEAD frequent words travel to the workers with
 their counts, the rows of all others are joined with the counted words; the head only decides where a word is looked up.
 
 Null texts are empty: one end token. With no training text the counts are zero and every word is new. Rows of one doc_id
@@ -24,7 +26,7 @@ bytes, ties do not arise.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -54,8 +56,10 @@ DEPTHS = (BITS, 9, 7, BITS)
 REACH, COMMON, GROUPS = 32, 1024, 16
 ACROSS_STARTS = np.cumsum((0, *ACROSS))
 ACROSS_GATES = 16
-#: What the mixers are fitted on at most.
-SAMPLE_DOCS, SAMPLE_BYTES, SAMPLE_WORDS = 1500, 1 << 20, 60_000
+#: Tokens and distinct words that one mixer learns from in a row, about; there are as many mixers as the corpus asks for.
+SLICE_TOKENS, SLICE_WORDS = 1 << 21, 1 << 17
+#: Tokens and bytes of a mixer's first steps; later ones grow to WIDEN times that.
+STEP_TOKENS, STEP_BYTES, WIDEN = 1024, 4096, 4
 #: Distinct words that one task adds to the tables, about.
 TASK_WORDS = 1 << 18
 LOG10 = float(np.log(10))
@@ -70,15 +74,32 @@ _ODD = tuple(np.uint64(x) for x in (0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7
 class Mixer:
     weights: np.ndarray  # gate, predictor
     refined: np.ndarray  # bit, bucket: (zeros, ones)
+    mass: np.ndarray  # gate: bits learned from
 
     @staticmethod
     def fresh(gates: int = GATES, predictors: int = K, bits: int = 8) -> Mixer:
         centre = 1 / (1 + np.exp(-np.linspace(-8, 8, BUCKETS)))
-        return Mixer(np.full((gates, predictors), 1.8 / predictors), np.tile(np.stack([1 - centre, centre], 1)[None] * 20, (bits, 1, 1)))
+        return Mixer(np.full((gates, predictors), 1.8 / predictors), np.tile(np.stack([1 - centre, centre], 1)[None] * 20, (bits, 1, 1)), np.zeros(gates))
 
+    def packed(self, fresh: Mixer) -> np.ndarray:
+        """What it has learned as whole numbers, which add up in any order."""
+        return np.rint(np.concatenate([(self.weights * self.mass[:, None] * 65536).ravel(), (self.refined - fresh.refined).ravel(), self.mass])).astype(np.int64)
 
-def mixed(mixer: Mixer, s: np.ndarray, gate: np.ndarray) -> np.ndarray:
-    return np.clip(np.einsum("kn,nk->n", s, mixer.weights[gate]), -8, 8)
+    def unpacked(self, total: np.ndarray) -> Mixer:
+        """This fresh mixer with the sum of what others have learned."""
+        a, b = self.weights.size, self.weights.size + self.refined.size
+        mass = total[b:].astype(float)
+        weights = np.where(mass[:, None] > 0, total[:a].reshape(self.weights.shape) / 65536 / np.maximum(mass, 1)[:, None], self.weights)
+        return Mixer(weights, self.refined + total[a:b].reshape(self.refined.shape), mass)
+
+
+def mixed(mixer: Mixer, s: Sequence[np.ndarray | None], gate: np.ndarray) -> np.ndarray:
+    """s: log odds by predictor, None for one that takes no part."""
+    x = np.zeros(len(gate))
+    for weights, odds_of in zip(mixer.weights.T, s, strict=True):
+        if odds_of is not None:
+            x += weights.take(gate) * odds_of
+    return np.clip(x, -8, 8)
 
 
 def refine(mixer: Mixer, bit: int, x: np.ndarray) -> np.ndarray:
@@ -91,14 +112,16 @@ def refine(mixer: Mixer, bit: int, x: np.ndarray) -> np.ndarray:
     return np.clip((p + share[low] * (1 - high) + share[low + 1] * high) / 2, 1e-6, 1 - 1e-6)
 
 
-def correct(mixer: Mixer, bit: int, s: np.ndarray, gate: np.ndarray, one: np.ndarray) -> None:
+def correct(mixer: Mixer, bit: int, s: Sequence[np.ndarray | None], gate: np.ndarray, one: np.ndarray) -> None:
     """One step of the weights and of the adaptive map by the bits just coded."""
     gates = len(mixer.weights)
     x = mixed(mixer, s, gate)
     error = one - 1 / (1 + np.exp(-x))
     mass = np.bincount(gate, minlength=gates)
+    mixer.mass += mass
     for k in range(len(s)):
-        mixer.weights[:, k] += 0.15 * np.bincount(gate, error * s[k], gates) / (mass + 20) / (1 + np.bincount(gate, s[k] * s[k], gates) / (mass + 20)) ** 0.5
+        if s[k] is not None:
+            mixer.weights[:, k] += 0.15 * np.bincount(gate, error * s[k], gates) / (mass + 20) / (1 + np.bincount(gate, s[k] * s[k], gates) / (mass + 20)) ** 0.5
     bucket = np.rint((x + 8) * (BUCKETS - 1) / 16).astype(np.int64)
     mixer.refined[bit] += np.stack([np.bincount(bucket, 1 - one, BUCKETS), np.bincount(bucket, one, BUCKETS)], 1)
 
@@ -107,6 +130,38 @@ def log_odds(n0: np.ndarray, n1: np.ndarray) -> np.ndarray:
     return np.log((n1 + np.float32(0.25)) / (n0 + np.float32(0.25)))
 
 
+def counted(table: np.ndarray, at: np.ndarray, one: np.ndarray, own: int) -> tuple[np.ndarray, np.ndarray]:
+    """(zeros, ones) of slots, without the bit `one` as often as `own`."""
+    both = table.view(np.complex64).take(at)
+    n0, n1 = both.real, both.imag
+    if own:
+        n0, n1 = np.maximum(n0 - np.float32(own) * (1 - one), 0), np.maximum(n1 - np.float32(own) * one, 0)
+    return n0, n1
+
+
+class Learner:
+    """A mixer that learns step by step from columns of symbols, whatever the batches that bring them."""
+
+    def __init__(self, mixer: Mixer, step: Callable[[Mixer, list[np.ndarray]], None], width: int) -> None:
+        self.mixer, self.step, self.width, self.seen, self.held = mixer, step, width, 0, []
+
+    def add(self, columns: list[np.ndarray]) -> None:
+        if self.held:
+            columns = [np.concatenate(pair) for pair in zip(self.held, columns, strict=True)]
+        a = 0
+        while len(columns[0]) - a >= (width := min(max(self.seen // 256, self.width), WIDEN * self.width)):
+            self.step(self.mixer, [c[a : a + width] for c in columns])
+            self.seen += width
+            a += width
+        self.held = [c[a:] for c in columns]
+
+    def close(self) -> Mixer:
+        if self.held and len(self.held[0]):
+            self.step(self.mixer, self.held)
+        self.held = []
+        return self.mixer
+
+
 # inside words
 
 
@@ -164,12 +219,9 @@ def count_tables(words: list[bytes], groups: np.ndarray, tables: np.ndarray) ->
 def odds(tables: np.ndarray, flat: Flat, bit: int, rows: slice, own: int = 0) -> tuple[np.ndarray, np.ndarray]:
     """Log odds of a one by each predictor, and the gate. own: occurrences of each byte to take out."""
     out, seen = [], []
-    one = flat.data[rows] >> (7 - bit) & 1
+    one = (flat.data[rows] >> (7 - bit) & 1).astype(np.float32)
     for k in range(K):
-        at = (slots(flat, k, bit, rows) + STARTS[k]) * 2
-        n0, n1 = tables[at], tables[at + 1]
-        if own:
-            n0, n1 = np.maximum(n0 - np.float32(own) * (1 - one), 0), np.maximum(n1 - np.float32(own) * one, 0)
+        n0, n1 = counted(tables, slots(flat, k, bit, rows) + STARTS[k], one, own)
         out.append(log_odds(n0, n1))
         seen.append(n0 + n1)
     deep = np.minimum(np.log2(seen[5] + 1).astype(np.int64), 11)
@@ -177,13 +229,20 @@ def odds(tables: np.ndarray, flat: Flat, bit: int, rows: slice, own: int = 0) ->
     return np.stack(out), deep * 4 + near
 
 
-def fit_spelling(tables: np.ndarray, words: list[bytes], groups: np.ndarray, chunk: int = 4096) -> Mixer:
-    mixer, flat = Mixer.fresh(), flatten(words, groups)
-    for a in range(0, len(flat.data), chunk):
-        rows = slice(a, a + chunk)
+def spelling_learner(tables: np.ndarray) -> Learner:
+    """It learns from columns of `spelled`."""
+
+    def step(mixer: Mixer, columns: list[np.ndarray]) -> None:
+        flat = Flat(columns[0], columns[0], columns[0], columns[1:])
         for bit in range(8):
-            correct(mixer, bit, *odds(tables, flat, bit, rows, 1), (flat.data[rows] >> (7 - bit) & 1).astype(float))
-    return mixer
+            correct(mixer, bit, *odds(tables, flat, bit, slice(None), 1), (flat.data >> (7 - bit) & 1).astype(float))
+
+    return Learner(Mixer.fresh(), step, STEP_BYTES)
+
+
+def spelled(words: list[bytes], groups: np.ndarray) -> list[np.ndarray]:
+    flat = flatten(words, groups)
+    return [flat.data, *flat.contexts]
 
 
 @dataclass(frozen=True)
@@ -296,35 +355,44 @@ def count_across(tokens: Tokens, table: np.ndarray, chunk: int = 1 << 16) -> Non
                 np.add.at(table, at, table.dtype.type(1))
 
 
-def _gate(seen1: np.ndarray, seen2: np.ndarray) -> np.ndarray:
-    return seen1 * 4 + seen2
-
-
 def _seen(n: np.ndarray) -> np.ndarray:
     """0 to 3: never, a few times, often, very often."""
     return np.minimum((np.log2(n + np.float32(1)) + np.float32(2)) / np.float32(3), 3).astype(np.int8)
 
 
-def fit_across(table: np.ndarray, tokens: Tokens, chunk: int = 1024) -> Mixer:
-    mixer = Mixer.fresh(ACROSS_GATES * BITS, len(ACROSS), BITS)
-    for a in range(0, len(tokens.ids), chunk):
-        rows = slice(a, a + chunk)
-        h = tokens.hashes[tokens.ids[rows]]
+def across_learner(table: np.ndarray) -> Learner:
+    """It learns from the hash bits of tokens and their contexts."""
+
+    def step(mixer: Mixer, columns: list[np.ndarray]) -> None:
+        h, before = columns[0], columns[1:]
         for depth in range(BITS):
-            node, one = _nodes(h, depth)
-            s, seen = [], []
+            node, bits = _nodes(h, depth)
+            one = bits.astype(np.float32)
+            s: list[np.ndarray | None] = []
+            gate = np.zeros(len(h), np.int64)
             for k in range(len(ACROSS)):
                 if depth >= DEPTHS[k]:
-                    s.append(np.zeros(len(h), np.float32))
-                    seen.append(np.zeros(len(h), np.int8))
+                    s.append(None)
                     continue
-                at = (across_slots(k, node, tokens.before, rows) + ACROSS_STARTS[k]) * 2
-                n0, n1 = table[at], table[at + 1]
-                n0, n1 = np.maximum(n0 - (1 - one), 0), np.maximum(n1 - one, 0)
+                n0, n1 = counted(table, across_slots(k, node, before, slice(None)) + ACROSS_STARTS[k], one, 1)
                 s.append(log_odds(n0, n1))
-                seen.append(_seen(n0 + n1))
-            correct(mixer, depth, np.stack(s), depth * ACROSS_GATES + _gate(seen[1].astype(np.int64), seen[2]), one.astype(float))
-    return mixer
+                if k == 1:
+                    gate += _seen(n0 + n1) * np.int8(4)
+                elif k == 2:
+                    gate += _seen(n0 + n1)
+            correct(mixer, depth, s, depth * ACROSS_GATES + gate, one.astype(float))
+
+    return Learner(Mixer.fresh(ACROSS_GATES * BITS, len(ACROSS), BITS), step, STEP_TOKENS)
+
+
+def coded(tokens: Tokens) -> list[np.ndarray]:
+    return [tokens.hashes[tokens.ids], *tokens.before]
+
+
+def fit_across(table: np.ndarray, tokens: Tokens) -> Mixer:
+    learner = across_learner(table)
+    learner.add(coded(tokens))
+    return learner.close()
 
 
 @dataclass(frozen=True)
@@ -378,43 +446,88 @@ class Across:
 # the corpus
 
 
-def count_words(docs: DataFrame, common: pa.Array) -> DataFrame:
-    """(word, c, groups): counts in all texts, with the end symbol, and a bit for each group met. docs: text.
+class Words:
+    """Rows of a task's batches, each once (its count, if it has one, summed), given on once there are `most` of them."""
+
+    def __init__(self, schema: pa.Schema, most: int) -> None:
+        self.schema, self.most = schema, most
+        self.held: list[pa.Table] = []
+        self.size = 0
+
+    def add(self, words: pa.Array, numbers: np.ndarray) -> Iterator[pa.RecordBatch]:
+        self.held.append(pa.table([words.cast(pa.string()), pa.array(numbers, self.schema.types[1])], self.schema.names))
+        self.size += len(words)
+        if self.size > self.most:
+            joined = self._joined()
+            self.held, self.size = [joined], len(joined)
+            if self.size > self.most // 2:
+                yield from self.close()
+
+    def close(self) -> Iterator[pa.RecordBatch]:
+        if self.held:
+            yield from self._joined().to_batches(65536)
+        self.held, self.size = [], 0
 
-    Each task sends a word and group once for every million of them.
+    def _joined(self) -> pa.Table:
+        rows, names = pa.concat_tables(self.held), self.schema.names
+        found = rows.group_by("word").aggregate([("c", "sum")]).rename_columns(names) if "c" in names else rows.group_by(names).aggregate([])
+        return found.cast(self.schema)
+
+
+def count_words(docs: DataFrame) -> DataFrame:
+    """(word, c): counts in all texts, with the end symbol. docs: text.
+
+    Each task sends a word once for every million of them.
     """
     bounded_batches(docs.sparkSession)
-    schema = pa.schema([("word", pa.string()), ("groups", pa.int32()), ("c", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
+        held = Words(pa.schema([("word", pa.string()), ("c", pa.int64())]), 1 << 20)
+        for batch in batches:
+            distinct, ids, _ = split_words(batch.column(0))
+            words = pa.concat_arrays([distinct, pa.array([END.decode()], distinct.type)])
+            yield from held.add(words, np.append(np.bincount(ids, minlength=len(distinct)), batch.num_rows))
+        yield from held.close()
+        batch = distinct = ids = words = held = None
+        freed()
+
+    return docs.select("text").mapInArrow(run, "word string, c long").where("c > 0").groupBy("word").agg(F.sum("c").alias("c"))
+
+
+def met_groups(found: Tokens) -> tuple[pa.Array, np.ndarray]:
+    """The batch's words, the end among them, with a bit for each group met."""
+    met = np.zeros((len(found.distinct) + 1, GROUPS + 1), np.int32)
+    met[found.ids, found.group] = 1
+    return pa.concat_arrays([found.distinct, pa.array([END.decode()], found.distinct.type)]), (met << np.arange(GROUPS + 1)).sum(1).astype(np.int32)
+
+
+def count_contexts(docs: DataFrame, common: pa.Array) -> tuple[np.ndarray, DataFrame]:
+    """The table of contexts across words but for the first predictor, and (word, groups): a bit for each group that a
+    word was met in. docs: text; read once."""
+    bounded_batches(docs.sparkSession)
+    size = 2 * int(ACROSS_STARTS[-1])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table, held = np.zeros(-(-size // WIDTH) * WIDTH, np.uint32), Words(pa.schema([("word", pa.string()), ("groups", pa.int32())]), 1 << 19)
+        names = ["block", "data", "word", "groups"]
 
-        def merged() -> pa.Table:
-            return pa.concat_tables(held).group_by(["word", "groups"]).aggregate([("c", "sum")]).rename_columns(schema.names)
+        def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                yield pa.RecordBatch.from_arrays([pa.nulls(b.num_rows, pa.int32()), pa.nulls(b.num_rows, pa.binary()), *b.columns], names)
 
         for batch in batches:
-            found = tokens_of(batch.column(0), common, False)
-            n = len(found.distinct) + 1
-            mask = np.zeros(n, np.int32)
-            for group in np.unique(found.group).tolist():
-                mask[found.ids[found.group == group]] |= 1 << group
-            words = pa.concat_arrays([found.distinct, pa.array([END.decode()], pa.large_string())])
-            counts = np.bincount(found.ids, minlength=n)
-            some = np.flatnonzero(counts)
-            held.append(pa.table([words.take(pa.array(some)), pa.array(mask[some]), pa.array(counts[some])], schema.names))
-            size += n
-            if size > 1 << 20:
-                held = [merged()]
-                size = len(held[0])
-                if size > 1 << 20:
-                    yield from held[0].cast(schema).to_batches(65536)
-                    held, size = [], 0
-        if held:
-            yield from merged().cast(schema).to_batches(65536)
-        held.clear()
+            found = tokens_of(batch.column(0), common)
+            count_across(found, table)
+            yield from rows(held.add(*met_groups(found)))
+        yield from rows(held.close())
+        for b in _blocks(table):
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.nulls(b.num_rows, pa.string()), pa.nulls(b.num_rows, pa.int32())], names)
+        batch = found = table = held = None
         freed()
 
-    return docs.select("text").mapInArrow(run, "word string, groups int, c long").groupBy("word").agg(F.sum("c").alias("c"), F.bit_or("groups").alias("groups"))
+    both = stored(docs.select("text").mapInArrow(run, "block int, data binary, word string, groups int"), "contexts")
+    met = both.where("word is not null").groupBy("word").agg(F.bit_or("groups").alias("groups"))
+    return _merged(both.where("word is null").select("block", "data"), size), stored(met, "met")
 
 
 def in_groups(words: pa.Array, groups: pa.Array) -> tuple[list[bytes], np.ndarray]:
@@ -437,25 +550,15 @@ def _taken(data: bytes, kind: str) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(4, -1).T).view(kind).ravel()
 
 
-def summed_tables(rows: DataFrame, add: Callable[[pa.RecordBatch, np.ndarray], None], size: int) -> np.ndarray:
-    """A table of `size` counts that `add` fills from all rows: each task sends its own in compressed blocks.
+def _blocks(table: np.ndarray) -> Iterator[pa.RecordBatch]:
+    for block in range(len(table) // WIDTH):
+        part = table[block * WIDTH : (block + 1) * WIDTH]
+        if part.any():
+            yield _sent(block, part)
 
-    Counts are summed as whole numbers, so their order doesn't matter.
-    """
-    pieces = -(-size // WIDTH)
-    shape = "block int, data binary"
 
-    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, some = np.zeros(pieces * WIDTH, np.uint32), False
-        for batch in batches:
-            some = some or bool(batch.num_rows)
-            add(batch, table)
-        for block in range(pieces if some else 0):
-            part = table[block * WIDTH : (block + 1) * WIDTH]
-            if part.any():
-                yield _sent(block, part)
-        del table
-        freed()
+def _merged(rows: DataFrame, size: int) -> np.ndarray:
+    """The sum of all tasks' tables. Counts are summed as whole numbers, so their order doesn't matter."""
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, np.ndarray] = {}
@@ -468,18 +571,61 @@ def summed_tables(rows: DataFrame, add: Callable[[pa.RecordBatch, np.ndarray], N
             yield _sent(block, x.astype("<f4"))
         freed()
 
-    merged = rows.mapInArrow(build, shape).repartition("block").mapInArrow(merge, shape).toArrow()  # the fixed size of the table
-    table = np.zeros(pieces * WIDTH, np.float32)
+    merged = rows.repartition("block").mapInArrow(merge, "block int, data binary").toArrow()  # the fixed size of the table
+    table = np.zeros(-(-size // WIDTH) * WIDTH, np.float32)
     for block, data in zip(merged["block"].to_pylist(), merged["data"].to_pylist(), strict=True):
         table[block * WIDTH : (block + 1) * WIDTH] = _taken(data, "<f4")
     return table[:size]
 
 
-def sampled(rows: DataFrame, key: str, bound: int, count: int) -> list:
-    """About `bound` of the rows, never more, chosen and ordered by the hash of their key."""
-    if count > bound:
-        rows = rows.where(F.pmod(F.xxhash64(key), F.lit(1 << 30)) < int((1 << 30) * 0.9 * bound / count))
-    return rows.orderBy(F.xxhash64(key), key).limit(bound).collect()
+def summed_tables(rows: DataFrame, add: Callable[[pa.RecordBatch, np.ndarray], None], size: int) -> np.ndarray:
+    """A table of `size` counts that `add` fills from all rows: each task sends its own in compressed blocks."""
+
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = np.zeros(-(-size // WIDTH) * WIDTH, np.uint32)
+        for batch in batches:
+            add(batch, table)
+        yield from _blocks(table)
+        del table
+        freed()
+
+    return _merged(rows.mapInArrow(build, "block int, data binary"), size)
+
+
+def fitted(rows: DataFrame, key: str, slices: int, table: np.ndarray, learner: Callable[[np.ndarray], Learner], columns: Callable[[pa.RecordBatch], list[np.ndarray]]) -> Mixer:
+    """The mixer that all rows teach. Each slice's rows go to one task, which learns from them in the order of the key's
+    hash; what the slices have learned is summed as whole numbers."""
+    spark = rows.sparkSession
+    shared = spark.sparkContext.broadcast(table)  # of fixed size
+    start = learner(table).mixer
+    place = F.xxhash64(key)
+
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        one = learner(shared.value)
+        for batch in batches:
+            if batch.num_rows:
+                one.add(columns(batch))
+        mixer = one.close()
+        if mixer.mass.any():
+            yield pa.RecordBatch.from_arrays([pa.array([mixer.packed(start).tobytes()], pa.binary())], ["learned"])
+        batch = one = mixer = None
+        freed()
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = None
+        for batch in batches:
+            for data in batch.column(0).to_pylist():
+                x = np.frombuffer(data, np.int64)
+                total = x if total is None else total + x
+        if total is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["learned"])
+
+    dealt = rows.repartitionById(slices, F.pmod(place, F.lit(slices)).cast("int")).sortWithinPartitions(place, *rows.columns)
+    total = np.zeros(start.weights.size + start.refined.size + start.mass.size, np.int64)
+    for (data,) in stored(dealt.mapInArrow(learn, "learned binary"), "learned").repartition(4).mapInArrow(add, "learned binary").collect():  # four rows
+        total = total + np.frombuffer(data, np.int64)
+    shared.destroy()
+    return start.unpacked(total)
 
 
 def _least(vocabulary: DataFrame, most: int) -> int:
@@ -518,29 +664,25 @@ def score(docs: DataFrame, trains: Column, head: int = HEAD) -> DataFrame:
     spark, rows = docs.sparkSession, texts(docs)
     learned = rows.where(trains)
     bounded_batches(spark)
-    few = pa.array([r.text for r in sampled(learned.where(F.octet_length("text") <= SAMPLE_BYTES), "doc_id", SAMPLE_DOCS, learned.count())], pa.string())
-    distinct, ids, _ = split_words(few)
-    often = sorted(zip((-np.bincount(ids, minlength=len(distinct))).tolist(), distinct.to_pylist(), strict=True))[:COMMON]
-    common = pa.array([w for _, w in often], pa.large_string())
 
     def prefixed(batch: pa.RecordBatch) -> pa.RecordBatch:
         prefix = (hashed(batch.column(0).to_pylist()) >> np.uint64(64 - BITS)).astype(np.int32)
-        return pa.RecordBatch.from_arrays([*batch.columns, pa.array(prefix)], ["word", "c", "groups", "prefix"])
+        return pa.RecordBatch.from_arrays([*batch.columns, pa.array(prefix)], ["word", "c", "prefix"])
 
-    vocabulary = stored(over_batches(count_words(learned, common), prefixed, "word string, c long, groups int, prefix int"), "vocabulary")
+    vocabulary = stored(over_batches(count_words(learned), prefixed, "word string, c long, prefix int"), "vocabulary")
     v, n, once, twice, n_docs = (x or 0 for x in vocabulary.agg(F.count(F.lit(1)), F.sum("c"), F.count_if(F.col("c") == 1), F.count_if(F.col("c") == 2), F.max(F.when(F.col("word") == END.decode(), F.col("c")))).first())
+    common = pa.array([r.word for r in vocabulary.where(F.col("word") != END.decode()).orderBy(F.desc("c"), "word").limit(COMMON).collect()], pa.large_string())
     discount = float(np.clip(once / max(once + 2 * twice, 1), 0.1, 0.95)) if once else 0.5
     mass, whole = np.zeros((2, 1 << BITS))
     for prefix, c, words in vocabulary.groupBy("prefix").agg(F.sum("c"), F.count(F.lit(1))).collect():  # a row a prefix
         mass[prefix], whole[prefix] = c - discount * words, c
     counts = Counts(n, min(max(discount * v / n, 1e-9), 1 - 1e-9) if n else 1 - 1e-9, discount, np.maximum(mass, 1e-300))
 
-    across_table = summed_tables(learned.select("text"), lambda batch, table: count_across(tokens_of(batch.column(0), common), table), 2 * int(ACROSS_STARTS[-1]))
+    across_table, met = count_contexts(learned, common)
     across_table[: 2 * ACROSS[0]] = prefix_table(whole)
-    across = Across.of(across_table, fit_across(across_table, tokens_of(few, common)))
-    spell_table = summed_tables(vocabulary.select("word", "groups").coalesce(max(1, -(-v // TASK_WORDS))), lambda batch, table: count_tables(*in_groups(batch.column(0), batch.column(1)), table), 2 * int(STARTS[-1]))
-    some = sampled(vocabulary.select("word", "groups"), "word", SAMPLE_WORDS, v)
-    speller = Model(spell_table, fit_spelling(spell_table, *in_groups(pa.array([r.word for r in some], pa.string()), pa.array([r.groups for r in some], pa.int32()))))
+    across = Across.of(across_table, fitted(learned, "doc_id", max(1, -(-n // SLICE_TOKENS)), across_table, across_learner, lambda batch: coded(tokens_of(batch.column(1), common))))
+    spell_table = summed_tables(met.coalesce(max(1, -(-v // TASK_WORDS))), lambda batch, table: count_tables(*in_groups(batch.column(0), batch.column(1)), table), 2 * int(STARTS[-1]))
+    speller = Model(spell_table, fitted(met, "word", max(1, -(-v // SLICE_WORDS)), spell_table, spelling_learner, lambda batch: spelled(*in_groups(batch.column(0), batch.column(1)))))
     shared = spark.sparkContext.broadcast((across, speller))  # of the fixed size of the tables
     least = _least(vocabulary, head)
     frequent = vocabulary.where(F.col("c") >= least).select("word", "c").toArrow()  # at most `head` rows
@@ -575,9 +717,9 @@ def score(docs: DataFrame, trains: Column, head: int = HEAD) -> DataFrame:
         ]
         return pa.RecordBatch.from_arrays(columns, ["doc_id", "word", "n", "known", "base", "n_bytes", "lp", "group"])
 
-    coded = stored(over_batches(rows, heads, "doc_id long, word string, n long, known long, base double, n_bytes long, lp double, group int"), "tokens")
+    placed = stored(over_batches(rows, heads, "doc_id long, word string, n long, known long, base double, n_bytes long, lp double, group int"), "tokens")
     # lp of a rare word's row is that of its hash bits, for the case that it is known
-    rest = coded.where("word is not null").select("word", "doc_id", "n", "lp", "group").join(vocabulary.where(F.col("c") < least).select("word", "c"), "word", "left")
+    rest = placed.where("word is not null").select("word", "doc_id", "n", "lp", "group").join(vocabulary.where(F.col("c") < least).select("word", "c"), "word", "left")
 
     def tails(batch: pa.RecordBatch) -> pa.RecordBatch:
         names = batch.column(0).dictionary_encode()
@@ -594,7 +736,7 @@ def score(docs: DataFrame, trains: Column, head: int = HEAD) -> DataFrame:
 
     more = over_batches(rest.select("word", "doc_id", "n", "lp", "c", "group"), tails, "doc_id long, known long, base double, lp double")
     nothing = F.lit(0).cast("long")
-    every = coded.where("word is null").select("doc_id", F.col("n").alias("tokens"), "known", "base", "n_bytes", "lp").unionByName(more.select("doc_id", nothing.alias("tokens"), "known", "base", nothing.alias("n_bytes"), "lp"))
+    every = placed.where("word is null").select("doc_id", F.col("n").alias("tokens"), "known", "base", "n_bytes", "lp").unionByName(more.select("doc_id", nothing.alias("tokens"), "known", "base", nothing.alias("n_bytes"), "lp"))
     total = every.groupBy("doc_id").agg(*(F.sum(c).alias(c) for c in ("tokens", "known", "base", "n_bytes", "lp")))
     return total.select(
         "doc_id", F.col("tokens").alias("n_tokens"), F.col("known").alias("n_known"), F.lit(n).cast("long").alias("train_tokens"), (F.col("base") - F.col("tokens") * zero).alias("base_score"), (F.col("lp") / LOG10).alias("score"),

@@ -117,6 +117,30 @@ def test_mixing_reads_across_words(spark):
     assert abs(got[30].base_score - got[31].base_score) < 1e-6
 
 
+def test_mixing_learns_from_long_texts_too(spark):
+    # a word all but tells the next one, which the mixer has to learn; the second corpus is the first one twice, in one text
+    rng, w, words = np.random.default_rng(4), 0, []
+    for k in range(90_000):
+        w = (w * 7 + 1) % 2003 if rng.random() < 0.95 else int(rng.integers(2003))
+        words.append(f"word{w}")
+    half = " ".join(words)
+    assert len(half) < 1 << 20 < 2 * len(half)
+    a, b = (by_id(mixing.score(rows(spark, [t], ()), F.lit(True)))[0] for t in (half, f"{half} {half}"))
+    assert b.bits_per_byte < 1.02 * a.bits_per_byte
+
+
+def test_mixers_learn_from_every_token_whatever_the_layout(spark, docs):
+    texts = docs.select("doc_id", "text").limit(60)
+    common = pa.array(["the", "of"], pa.large_string())
+    tokens = mixing.tokens_of(pa.array([r.text for r in texts.collect()], pa.string()), common)
+    table, _ = mixing.count_contexts(texts, common)
+    table[: 2 * mixing.ACROSS[0]] = mixing.prefix_table(np.bincount((tokens.hashes[tokens.ids] >> np.uint64(64 - mixing.BITS)).astype(int), minlength=1 << mixing.BITS))
+    columns = lambda batch: mixing.coded(mixing.tokens_of(batch.column(1), common))
+    a, b = (mixing.fitted(texts.repartition(parts), "doc_id", 3, table, mixing.across_learner, columns) for parts in (1, 5))
+    assert a.mass.sum() == mixing.BITS * len(tokens.ids) == (a.refined - mixing.across_learner(table).mixer.refined).sum().round()
+    assert (a.weights == b.weights).all() and (a.refined == b.refined).all()
+
+
 def test_spelling_is_a_distribution():
     tables, rng = np.zeros(2 * mixing.STARTS[-1], np.float32), np.random.default_rng(0)
     words = [bytes(rng.integers(97, 103, rng.integers(1, 5)).astype(np.uint8)) for _ in range(300)]
