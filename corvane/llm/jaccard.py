@@ -1,4 +1,8 @@
-"""Near copies by the similarity of their shingle sets: all pairs at or above SHARE, none below.
+"""Near copies by SimHash and the similarity of their shingle sets: all pairs at or above SHARE, none below.
+
+Texts are linked by the SimHash fingerprints of their sets first: equal ones and those within RADIUS bits, each found by
+exact bands, with the least text of what the fingerprints join. At a similarity of 0.8 most fingerprints are farther
+apart than any bands can reach, so an exact way finds the rest:
 
 Shingles are ordered by how often their slot of a fixed table of counts was met over all texts, rare ones first. Two
 sets of similarity s share a shingle among the first n - ceil(s n) + 1 of each (prefix filter), so texts that share
@@ -23,11 +27,13 @@ from pyspark.sql import functions as F
 
 from .common import bounded_batches, freed, over_batches, stored, texts
 from .components import components
-from .simhash import shingle_hashes
+from .simhash import exact_bands, fingerprint, links, shingle_hashes
 
 #: Fifths: a similarity of 0.8, in whole numbers.
 SHARE = 4
 WORDS = 5
+#: Bits that the fingerprints of candidates differ by at most.
+RADIUS = 4
 #: Slots of the table of counts, a power of two.
 SLOTS = 1 << 20
 #: Keys that the links of one text are spread over, and those of the texts with one set.
@@ -48,21 +54,22 @@ def _slot(hashes: np.ndarray) -> np.ndarray:
 
 
 def digests(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
-    """doc_id, digest of every text's set, and the counts of all slots. docs: doc_id, text."""
+    """doc_id, digest and fingerprint (fp) of every text's set, and the counts of all slots. docs: doc_id, text."""
     bounded_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(SLOTS, np.int64)
-        names = ["doc_id", "digest", "counts"]
+        names = ["doc_id", "digest", "fp", "counts"]
         for batch in batches:
-            out = []
+            out, fps = [], []
             for text in batch.column(1).to_pylist():
                 found = shingles(text)
                 np.add.at(counts, _slot(found), 1)
                 out.append(xxhash.xxh3_128_digest(found.tobytes()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary()), pa.nulls(len(out), pa.binary())], names)
+                fps.append(fingerprint(found))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary()), pa.array(fps, pa.binary()), pa.nulls(len(out), pa.binary())], names)
         if counts.any():
-            yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.array([zstandard.compress(counts.astype("<u4").tobytes(), 1)], pa.binary())], names)
+            yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.nulls(1, pa.binary()), pa.array([zstandard.compress(counts.astype("<u4").tobytes(), 1)], pa.binary())], names)
         freed()
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -72,11 +79,21 @@ def digests(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
                 total += np.frombuffer(zstandard.decompress(data), "<u4")
         yield pa.RecordBatch.from_arrays([pa.array([zstandard.compress(total.astype("<u4").tobytes(), 1)], pa.binary())], ["counts"])
 
-    both = stored(docs.mapInArrow(run, "doc_id long, digest binary, counts binary"), "set-digests")
+    both = stored(docs.mapInArrow(run, "doc_id long, digest binary, fp binary, counts binary"), "set-digests")
     counts = np.zeros(SLOTS, np.int64)
     for (data,) in both.where("counts is not null").select("counts").repartition(4).mapInArrow(merge, "counts binary").toLocalIterator():
         counts += np.frombuffer(zstandard.decompress(data), "<u4")
-    return both.where("counts is null").select("doc_id", "digest"), counts
+    return both.where("counts is null").select("doc_id", "digest", "fp"), counts
+
+
+def alike(fps: DataFrame) -> DataFrame:
+    """u, v (u < v): pairs that connect all texts whose fingerprints are at most RADIUS bits apart. fps: doc_id, fp."""
+    distinct = stored(fps.groupBy("fp").agg(F.min("doc_id").alias("node"), F.count(F.lit(1)).alias("n")), "set-fingerprints")
+    # a fingerprint that many texts have meets its least one in SALTS places
+    salted = distinct.where("n > 1").select("fp", "node", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    equal = fps.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int")).join(salted, ["fp", "salt"]).select(F.col("node").alias("u"), F.col("doc_id").alias("v"))
+    near = links(distinct, RADIUS, exact_bands(RADIUS, distinct.count()))
+    return equal.unionByName(near).select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).where("u < v").distinct()
 
 
 def prefixes(docs: DataFrame, counts: np.ndarray) -> DataFrame:
@@ -163,16 +180,18 @@ def copies(docs: DataFrame) -> DataFrame:
     salted = least.select("digest", "root", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
     same = stored(sets.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int")).join(salted, ["digest", "salt"]).where("doc_id != root").select("doc_id", "root"), "same-sets")
     single = rows.join(same.select("doc_id"), "doc_id", "left_anti")
+    by_fingerprint = verified(alike(sets.join(same.select("doc_id"), "doc_id", "left_anti").select("doc_id", "fp")), single)
     entry = F.struct("node", "size", "at", F.col("node").alias("root"))
     buckets = stored(prefixes(single, counts).groupBy("shingle").agg(F.collect_list(entry).alias("a")).where(F.size("a") > 1), "buckets")
-    links = verified(pairs(buckets, False), single)
-    roots = components(links, "first-components") if links.take(1) else None
+    by_prefix = verified(pairs(buckets, False).join(by_fingerprint, ["u", "v"], "left_anti"), single)
+    first = by_fingerprint.unionByName(by_prefix)
+    roots = components(first, "first-components") if first.take(1) else None
     each = buckets.where(F.size("a") > 2).select("shingle", F.inline("a")).withColumnRenamed("root", "own")
     found = each.join(roots, "node", "left") if roots is not None else each.withColumn("root", F.lit(None).cast("long"))
     again = found.groupBy("shingle").agg(F.collect_list(F.struct("node", "size", "at", F.coalesce("root", "own").alias("root"))).alias("a"))
     more = verified(pairs(again, True), single)
     if more.take(1):
-        roots = components(links.unionByName(more), "components")
+        roots = components(first.unionByName(more), "components")
     if roots is None:
         return same
     moved = roots.where("node != root")

@@ -5,7 +5,8 @@ of m-r of them as a key: two fingerprints within radius r agree on one, so no li
 of the fingerprints stand vertically, 64 to a word: carry-save counters add the differing bits of many pairs at once,
 and words whose 64 candidates all exceed the radius are abandoned. Large buckets are cut into chunks whose pairs are
 spread over tasks. A task returns only a spanning star of what it linked, which loses no connection. Copies share a
-fingerprint and are compared once. The pipeline's `keep_one` goes by the similarity of whole shingle sets instead.
+fingerprint and are compared once. The pipeline's `keep_one` checks each such link by the similarity of the whole shingle
+sets, and finds the similar texts whose fingerprints are farther apart by a prefix filter.
 
 Nulls and texts without words have fingerprint zero, linked like any other; repeated rows are kept; an empty table
 gives an empty result; extra columns are left behind (`keep_one` returns docs' own).
@@ -43,9 +44,9 @@ def shingle_hashes(text: str, words_in_shingle: int) -> list[int]:
     return list(map(xxhash.xxh64_intdigest, [joined[a:b] for a, b in zip(starts, (ends[words_in_shingle - 1 :] - 1).tolist(), strict=True)], repeat(42)))
 
 
-def fingerprint(hashes: list[int], words: int = 1) -> bytes:
+def fingerprint(hashes: list[int] | np.ndarray, words: int = 1) -> bytes:
     """Bits set in over half the hashes; further words come from the hashes mixed anew."""
-    if not hashes:
+    if not len(hashes):
         return bytes(8 * words)
     h = np.array(hashes, np.uint64)
     out = []

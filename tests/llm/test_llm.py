@@ -786,6 +786,36 @@ def test_links_by_sets_equal_brute_force(spark):
     assert [got.get(k, k) for k in range(60)] == root and 1 < len(set(root)) < 50
 
 
+def test_keep_one_links_by_fingerprints(spark, monkeypatch):
+    # without the exact way for the rest: near copies go by their fingerprints, and only if their sets are similar enough
+    rng, texts = np.random.default_rng(7), []
+    for _ in range(60):
+        w = [f"w{k}" for k in rng.integers(0, 10**6, 400)]
+        texts += [" ".join(w), " ".join([*w[:-3], "x", "y", "z"])]
+    short = [f"a b c d e f{k}" for k in range(40)]  # two shingles each, one of them shared: a similarity of a third
+    prefixes = jaccard.prefixes
+    monkeypatch.setattr(jaccard, "prefixes", lambda docs, counts: prefixes(docs, counts).where("false"))
+    kept = {r.doc_id for r in simhash.keep_one(rows(spark, [*texts, *short, short[0]], ())).collect()}
+    fps = [np.frombuffer(simhash.fingerprint(jaccard.shingles(t).tolist()), np.uint8) for t in texts]
+    near = {k + 1 for k in range(0, 120, 2) if np.unpackbits(fps[k] ^ fps[k + 1]).sum() <= 4}
+    assert len(near) > 40 and kept == set(range(160)) - near
+
+
+def test_fingerprints_of_sets_connect_all_within_the_radius(spark):
+    rng = np.random.default_rng(8)
+    base = rng.integers(0, 256, (30, 8)).astype(np.uint8)
+    fps = np.concatenate([base, base[:10], base ^ np.packbits(rng.random((30, 64)) < 0.06, axis=1)])
+    root = list(range(len(fps)))
+    for b in range(len(fps)):
+        for a in range(b):
+            if np.unpackbits(fps[a] ^ fps[b]).sum() <= jaccard.RADIUS and root[a] != root[b]:
+                lo, hi = sorted((root[a], root[b]))
+                root = [lo if r == hi else r for r in root]
+    frame = spark.createDataFrame([(k, bytearray(f.tobytes())) for k, f in enumerate(fps)], "doc_id long, fp binary")
+    got = {r.node: r.root for r in components.components(jaccard.alike(frame)).collect()}
+    assert [got.get(k, k) for k in range(len(fps))] == root and 30 < len(set(root)) < 60
+
+
 # 10
 
 
