@@ -16,7 +16,8 @@ order of rows changes them; what is gathered on the way grows with the corpus. T
 texts. The mixers learn from every token, and from every distinct word with each common word it was met behind, each
 taken out of the counts first: rows are dealt by hash to as many slices as their number asks for, each slice is learned
 online in an order fixed by hash, and the slices' mixers are joined, weights by how much each gate has learned, maps as
-sums; then they stay. At most HEAD frequent words travel to the workers with
+sums; then they stay. A row's own bit leaves only two ways for the counts of a slot, so the odds of both are taken once for
+the whole table and a step looks them up. At most HEAD frequent words travel to the workers with
 their counts, the rows of all others are joined with the counted words; the head only decides where a word is looked up.
 
 Null texts are empty: one end token. With no training text the counts are zero and every word is new. Rows of one doc_id
@@ -28,6 +29,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -40,7 +42,7 @@ from pyspark.sql import functions as F
 from .common import bounded_batches, freed, over_batches, stored, texts
 
 #: Words that travel to the workers at most.
-HEAD = 1 << 17
+HEAD = 1 << 19
 #: Slots of each predictor inside words: position, last 1, 2, 3, 4 bytes, word so far.
 SLOTS = (1 << 12, 1 << 16, 1 << 18, 1 << 20, 1 << 20, 1 << 21)
 K = len(SLOTS)
@@ -65,6 +67,9 @@ TASK_WORDS = 1 << 18
 LOG10 = float(np.log(10))
 END = b"\n"
 _ODD = tuple(np.uint64(x) for x in (0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB))
+#: Products of the first and the second with the third.
+_TWICE, _KNOWN = (np.uint64(int(x) * int(_ODD[2]) & 0xFFFFFFFFFFFFFFFF) for x in _ODD[:2])
+_TURNS = sorted({0, *DEPTHS})
 
 
 # mixing
@@ -95,11 +100,13 @@ class Mixer:
 
 def mixed(mixer: Mixer, s: Sequence[np.ndarray | None], gate: np.ndarray) -> np.ndarray:
     """s: log odds by predictor, None for one that takes no part."""
-    x = np.zeros(len(gate))
-    for weights, odds_of in zip(mixer.weights.T, s, strict=True):
+    x = np.zeros(gate.shape, np.float32)
+    for weights, odds_of in zip(np.ascontiguousarray(mixer.weights.T, np.float32), s, strict=True):
         if odds_of is not None:
-            x += weights.take(gate) * odds_of
-    return np.clip(x, -8, 8)
+            part = weights.take(gate)
+            part *= odds_of
+            x += part
+    return np.clip(x, -8, 8, out=x)
 
 
 def refine(mixer: Mixer, bit: int, x: np.ndarray) -> np.ndarray:
@@ -112,52 +119,73 @@ def refine(mixer: Mixer, bit: int, x: np.ndarray) -> np.ndarray:
     return np.clip((p + share[low] * (1 - high) + share[low + 1] * high) / 2, 1e-6, 1 - 1e-6)
 
 
-def correct(mixer: Mixer, bit: int, s: Sequence[np.ndarray | None], gate: np.ndarray, one: np.ndarray) -> None:
-    """One step of the weights and of the adaptive map by the bits just coded."""
+def correct(mixer: Mixer, bit: int | np.ndarray, s: Sequence[np.ndarray | None], gate: np.ndarray, one: np.ndarray) -> None:
+    """One step of the weights and of the adaptive map by the bits just coded. bit: of all, or one that spreads to each."""
     gates = len(mixer.weights)
     x = mixed(mixer, s, gate)
-    error = one - 1 / (1 + np.exp(-x))
-    mass = np.bincount(gate, minlength=gates)
+    error = np.exp(-x)
+    error += 1
+    np.reciprocal(error, out=error)
+    np.subtract(one, error, out=error)
+    flat = gate.ravel()
+    mass = np.bincount(flat, minlength=gates)
     mixer.mass += mass
     for k in range(len(s)):
         if s[k] is not None:
-            mixer.weights[:, k] += 0.15 * np.bincount(gate, error * s[k], gates) / (mass + 20) / (1 + np.bincount(gate, s[k] * s[k], gates) / (mass + 20)) ** 0.5
-    bucket = np.rint((x + 8) * (BUCKETS - 1) / 16).astype(np.int64)
-    mixer.refined[bit] += np.stack([np.bincount(bucket, 1 - one, BUCKETS), np.bincount(bucket, one, BUCKETS)], 1)
+            part = error * s[k]
+            mean = np.bincount(flat, part.ravel(), gates) / (mass + 20)
+            np.multiply(s[k], s[k], out=part)
+            mixer.weights[:, k] += 0.15 * mean / (1 + np.bincount(flat, part.ravel(), gates) / (mass + 20)) ** 0.5
+    x += 8
+    x *= (BUCKETS - 1) / 16
+    place = np.rint(x, out=x).astype(np.int64)
+    place += bit * BUCKETS
+    place += place
+    place += one
+    mixer.refined += np.bincount(place.ravel(), minlength=mixer.refined.size).reshape(mixer.refined.shape)
 
 
 def log_odds(n0: np.ndarray, n1: np.ndarray) -> np.ndarray:
     return np.log((n1 + np.float32(0.25)) / (n0 + np.float32(0.25)))
 
 
-def counted(table: np.ndarray, at: np.ndarray, one: np.ndarray, own: int) -> tuple[np.ndarray, np.ndarray]:
-    """(zeros, ones) of slots, without the bit `one` as often as `own`."""
-    both = table.view(np.complex64).take(at)
-    n0, n1 = both.real, both.imag
-    if own:
-        n0, n1 = np.maximum(n0 - np.float32(own) * (1 - one), 0), np.maximum(n1 - np.float32(own) * one, 0)
-    return n0, n1
+def left(table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Log odds of all slots without one zero, then without one `one`; and how often each was seen besides."""
+    n0, n1 = table[0::2], table[1::2]
+    size, less = len(n0), np.float32(1)
+    out = np.empty(2 * size, np.float32)
+    out[:size] = log_odds(np.maximum(n0 - less, 0), n1)
+    out[size:] = log_odds(n0, np.maximum(n1 - less, 0))
+    return out, np.maximum(n0 + n1 - less, 0)
 
 
 class Learner:
-    """A mixer that learns step by step from columns of symbols, whatever the batches that bring them."""
+    """A mixer that learns step by step from columns of symbols, whatever the batches that bring them.
 
-    def __init__(self, mixer: Mixer, step: Callable[[Mixer, list[np.ndarray]], None], width: int) -> None:
-        self.mixer, self.step, self.width, self.seen, self.held = mixer, step, width, 0, []
+    tables: log odds without the symbol itself, and gates, which the step looks up.
+    """
+
+    def __init__(self, mixer: Mixer, tables: tuple[np.ndarray, ...], step: Callable[[Mixer, tuple[np.ndarray, ...], list[np.ndarray]], None], width: int) -> None:
+        self.mixer, self.tables, self.step, self.width, self.seen, self.held = mixer, tables, step, width, 0, []
+
+    def again(self) -> Learner:
+        """Another one that starts where this one stands."""
+        m = self.mixer
+        return Learner(Mixer(m.weights.copy(), m.refined.copy(), m.mass.copy()), self.tables, self.step, self.width)
 
     def add(self, columns: list[np.ndarray]) -> None:
         if self.held:
             columns = [np.concatenate(pair) for pair in zip(self.held, columns, strict=True)]
         a = 0
         while len(columns[0]) - a >= (width := min(max(self.seen // 256, self.width), WIDEN * self.width)):
-            self.step(self.mixer, [c[a : a + width] for c in columns])
+            self.step(self.mixer, self.tables, [c[a : a + width] for c in columns])
             self.seen += width
             a += width
         self.held = [c[a:] for c in columns]
 
     def close(self) -> Mixer:
         if self.held and len(self.held[0]):
-            self.step(self.mixer, self.held)
+            self.step(self.mixer, self.tables, self.held)
         self.held = []
         return self.mixer
 
@@ -167,7 +195,7 @@ class Learner:
 
 @dataclass(frozen=True)
 class Flat:
-    """Bytes of many words, one after another, and the hash of each predictor's context of each byte."""
+    """Bytes of many words, one after another, and the hash of each predictor's context of each byte, as `slots` adds to it."""
 
     data: np.ndarray
     word: np.ndarray
@@ -194,50 +222,81 @@ def flatten(words: list[bytes], groups: np.ndarray) -> Flat:
     total = np.cumsum(terms, dtype=np.uint64) - terms
     contexts.append(total - total[starts[word]])
     salt = (groups.astype(np.uint64) * np.uint64(0x8CB92BA72F3D8DD7))[word]
-    contexts = [c if k < 3 else c ^ salt for k, c in enumerate(contexts)]
+    contexts = [c << np.uint64(8) if k < 2 else (c if k < 3 else c ^ salt) * _TWICE for k, c in enumerate(contexts)]
     return Flat(data, word, position, contexts)
 
 
-def slots(flat: Flat, k: int, bit: int, rows: slice) -> np.ndarray:
-    """Slot of predictor k for the given bit (0 is the highest) of each byte."""
-    known = ((flat.data[rows].astype(np.uint64) | np.uint64(256)) >> np.uint64(8 - bit)).astype(np.uint64)
-    context = flat.contexts[k][rows]
+def slots(flat: Flat, k: int, bit: int, rows: slice, known: np.ndarray | None = None) -> np.ndarray:
+    """Slot of predictor k for the given bit (0 is the highest) of each byte. known: `_known` of them, if at hand."""
+    if known is None:
+        known = _known(flat, bit, rows)
     if k < 2:
-        return (context << np.uint64(8) | known).astype(np.int64)
-    return ((context * _ODD[0] + known * _ODD[1]) * _ODD[2] >> np.uint64(65 - SLOTS[k].bit_length())).astype(np.int64)
+        return (flat.contexts[k][rows] | known).view(np.int64)
+    at = known * _KNOWN
+    at += flat.contexts[k][rows]
+    at >>= np.uint64(65 - SLOTS[k].bit_length())
+    return at.view(np.int64)
+
+
+def _known(flat: Flat, bit: int, rows: slice) -> np.ndarray:
+    """The bits of each byte before the given one, behind a leading one."""
+    known = flat.data[rows].astype(np.uint64)
+    known |= np.uint64(256)
+    known >>= np.uint64(8 - bit)
+    return known
 
 
 def count_tables(words: list[bytes], groups: np.ndarray, tables: np.ndarray) -> None:
     """Add each word once to (zeros, ones) of every context it passes."""
     flat, everything = flatten(words, groups), slice(None)
     for bit in range(8):
-        one = flat.data >> (7 - bit) & 1
+        one, known = (flat.data >> (7 - bit) & 1).astype(np.int64), _known(flat, bit, everything)
         for k in range(K):
-            np.add.at(tables, (slots(flat, k, bit, everything) + STARTS[k]) * 2 + one, tables.dtype.type(1))
+            at = slots(flat, k, bit, everything, known)
+            at += at
+            at += one
+            np.add.at(tables[2 * STARTS[k] :], at, tables.dtype.type(1))
+
 
+def spelling_gates(seen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """What the last predictor's slots, and those of the one before, add to the gate."""
+    deep = np.minimum(np.log2(seen[STARTS[5] : STARTS[6]] + 1).astype(np.int8), 11) * np.int8(4)
+    return deep, np.minimum((np.log2(seen[STARTS[4] : STARTS[5]] + 1) / 3).astype(np.int8), 3)
 
-def odds(tables: np.ndarray, flat: Flat, bit: int, rows: slice, own: int = 0) -> tuple[np.ndarray, np.ndarray]:
-    """Log odds of a one by each predictor, and the gate. own: occurrences of each byte to take out."""
-    out, seen = [], []
-    one = (flat.data[rows] >> (7 - bit) & 1).astype(np.float32)
+
+def looked_up(odds: np.ndarray, deep: np.ndarray, near: np.ndarray, flat: Flat, bit: int, rows: slice, beside: np.ndarray | None = None) -> tuple[list[np.ndarray], np.ndarray]:
+    """Log odds of a one by each predictor, and the gate. beside: what is added to each slot's number."""
+    known, out = _known(flat, bit, rows), []
     for k in range(K):
-        n0, n1 = counted(tables, slots(flat, k, bit, rows) + STARTS[k], one, own)
-        out.append(log_odds(n0, n1))
-        seen.append(n0 + n1)
-    deep = np.minimum(np.log2(seen[5] + 1).astype(np.int64), 11)
-    near = np.minimum((np.log2(seen[4] + 1) / 3).astype(np.int64), 3)
-    return np.stack(out), deep * 4 + near
+        at = slots(flat, k, bit, rows, known)
+        if k == 4:
+            gate = near.take(at).astype(np.int64)
+        elif k == 5:
+            gate += deep.take(at)
+        if beside is not None:
+            at += beside
+        out.append(odds[STARTS[k] :].take(at))
+    return out, gate
+
+
+def odds(tables: np.ndarray, flat: Flat, bit: int, rows: slice) -> tuple[np.ndarray, np.ndarray]:
+    """Log odds of a one by each predictor, and the gate, from counts."""
+    n0, n1 = tables[0::2], tables[1::2]
+    s, gate = looked_up(log_odds(n0, n1), *spelling_gates(n0 + n1), flat, bit, rows)
+    return np.stack(s), gate
+
+
+def _spelling_step(mixer: Mixer, tables: tuple[np.ndarray, ...], columns: list[np.ndarray]) -> None:
+    flat, half = Flat(columns[0], columns[0], columns[0], columns[1:]), len(tables[0]) // 2
+    for bit in range(8):
+        one = (flat.data >> (7 - bit) & 1).astype(np.int64)
+        correct(mixer, bit, *looked_up(*tables, flat, bit, slice(None), one * half), one)
 
 
 def spelling_learner(tables: np.ndarray) -> Learner:
     """It learns from columns of `spelled`."""
-
-    def step(mixer: Mixer, columns: list[np.ndarray]) -> None:
-        flat = Flat(columns[0], columns[0], columns[0], columns[1:])
-        for bit in range(8):
-            correct(mixer, bit, *odds(tables, flat, bit, slice(None), 1), (flat.data >> (7 - bit) & 1).astype(float))
-
-    return Learner(Mixer.fresh(), step, STEP_BYTES)
+    without, seen = left(tables)
+    return Learner(Mixer.fresh(), (without, *spelling_gates(seen)), _spelling_step, STEP_BYTES)
 
 
 def spelled(words: list[bytes], groups: np.ndarray) -> list[np.ndarray]:
@@ -250,7 +309,13 @@ class Model:
     tables: np.ndarray
     mixer: Mixer
 
-    def spell(self, words: list[bytes], groups: np.ndarray, chunk: int = 1 << 15) -> np.ndarray:
+    @cached_property
+    def looks(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Log odds and gates of all slots."""
+        n0, n1 = self.tables[0::2], self.tables[1::2]
+        return log_odds(n0, n1), *spelling_gates(n0 + n1)
+
+    def spell(self, words: list[bytes], groups: np.ndarray, chunk: int = 1 << 14) -> np.ndarray:
         """Log probability of each word with its closing space (or of END alone)."""
         if not words:
             return np.zeros(0)
@@ -259,8 +324,8 @@ class Model:
         for a in range(0, len(flat.data), chunk):
             rows = slice(a, a + chunk)
             for bit in range(8):
-                s, gate = odds(self.tables, flat, bit, rows)
-                p = refine(self.mixer, bit, mixed(self.mixer, s, gate))
+                s, gate = looked_up(*self.looks, flat, bit, rows)
+                p = refine(self.mixer, bit, mixed(self.mixer, s, gate).astype(float))
                 out[rows] += np.log(np.where(flat.data[rows] >> (7 - bit) & 1, p, 1 - p))
         return np.bincount(flat.word, out, len(words))
 
@@ -299,32 +364,48 @@ def tokens_of(column: pa.Array, common: pa.Array, contexts: bool = True) -> Toke
     """common: the most frequent words, in order. Without contexts the hashes are left out."""
     distinct, ids, owner = split_words(column)
     n, size = len(column), len(ids)
-    every, who = np.full(size + n, len(distinct), np.int64), np.repeat(np.arange(n), np.bincount(owner, minlength=n) + 1)
-    every[np.arange(size) + owner] = ids
-    same = who[1:] == who[:-1]
+    sizes = np.bincount(owner, minlength=n) + 1
+    begin, who = np.cumsum(sizes) - sizes, np.repeat(np.arange(n), sizes)
+    every = np.full(size + n, len(distinct), np.int64)
+    owner += np.arange(size)
+    every[owner] = ids
+    # how far each token is from its text's beginning, REACH at most
+    deep = np.full(len(every), REACH, np.int16)
+    for k in range(REACH - 1, -1, -1):
+        deep[begin[sizes > k] + k] = k
     rank = np.append(pc.fill_null(pc.index_in(distinct, value_set=common), COMMON).to_numpy(zero_copy_only=False), COMMON).astype(np.int16)[every]
     least = np.full(len(every), COMMON, np.int16)
-    least[1:] = np.where(same, rank[:-1], COMMON)
+    least[1:] = rank[:-1]
+    least[begin] = COMMON
     reach = 1
     while reach < REACH:  # the least of twice as many each time
-        near = least[:-reach].copy()
-        least[reach:] = np.minimum(least[reach:], np.where(who[reach:] == who[:-reach], near, COMMON))
+        near = np.where(deep[reach:] >= reach, least[:-reach], np.int16(COMMON))
+        np.minimum(least[reach:], near, out=least[reach:])
         reach *= 2
     group, hashes, before = np.minimum(least, GROUPS).astype(np.int64), np.zeros(0, np.uint64), ()
     if contexts:
         hashes = np.append(hashed(distinct.to_pylist()), hashed([END]))
         h = hashes[every]
         one, two = np.zeros((2, len(h)), np.uint64)
-        one[1:] = np.where(same, h[:-1], np.uint64(0))
-        two[1:] = np.where(same, one[:-1], np.uint64(0))
-        before = (one, two * _ODD[1] + one, (least.astype(np.uint64) + np.uint64(1)) * _ODD[1])
+        one[1:] = h[:-1]
+        one[begin] = 0
+        two[1:] = one[:-1]
+        two[begin] = 0
+        two *= _ODD[1]
+        two += one
+        before = (one, two, ((np.arange(COMMON + 1, dtype=np.uint64) + np.uint64(1)) * _ODD[1])[least])
     return Tokens(distinct, every, who, hashes, before, group)
 
 
-def across_slots(k: int, node: np.ndarray, before: tuple[np.ndarray, np.ndarray], rows: slice) -> np.ndarray:
-    if k == 0:
-        return node.astype(np.int64)
-    return ((before[k - 1][rows] + node * _ODD[0]) * _ODD[2] >> np.uint64(65 - ACROSS[k].bit_length())).astype(np.int64)
+def across_slots(k: int, term: np.ndarray, before: Sequence[np.ndarray]) -> np.ndarray:
+    """Slots of a predictor with context. term: `_term` of the bits so far; before: the contexts, scattered."""
+    at = term + before[k - 1]
+    at >>= np.uint64(65 - ACROSS[k].bit_length())
+    return at.view(np.int64)
+
+
+def _term(node: np.ndarray) -> np.ndarray:
+    return node * _TWICE
 
 
 def _nodes(h: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
@@ -341,18 +422,25 @@ def prefix_table(counts: np.ndarray) -> np.ndarray:
     return out
 
 
-def count_across(tokens: Tokens, table: np.ndarray, chunk: int = 1 << 16) -> None:
+def scattered(before: Sequence[np.ndarray], rows: slice = slice(None)) -> list[np.ndarray]:
+    return [x[rows] * _ODD[2] for x in before]
+
+
+def count_across(tokens: Tokens, table: np.ndarray, chunk: int = 1 << 14) -> None:
     """Add each token to (zeros, ones) of its hash bits in the contexts that hold words; prefix_table has the first one's."""
     for a in range(0, len(tokens.ids), chunk):
         rows = slice(a, a + chunk)
-        h = tokens.hashes[tokens.ids[rows]]
+        h, before = tokens.hashes[tokens.ids[rows]], scattered(tokens.before, rows)
         for depth in range(BITS):
             node, one = _nodes(h, depth)
+            term = _term(node)
             for k in range(1, len(ACROSS)):
                 if depth >= DEPTHS[k]:
                     continue
-                at = (across_slots(k, node, tokens.before, rows) + ACROSS_STARTS[k]) * 2 + one
-                np.add.at(table, at, table.dtype.type(1))
+                at = across_slots(k, term, before)
+                at += at
+                at += one
+                np.add.at(table[2 * ACROSS_STARTS[k] :], at, table.dtype.type(1))
 
 
 def _seen(n: np.ndarray) -> np.ndarray:
@@ -360,29 +448,37 @@ def _seen(n: np.ndarray) -> np.ndarray:
     return np.minimum((np.log2(n + np.float32(1)) + np.float32(2)) / np.float32(3), 3).astype(np.int8)
 
 
-def across_learner(table: np.ndarray) -> Learner:
-    """It learns from the hash bits of tokens and their contexts."""
+def _across_step(mixer: Mixer, tables: tuple[np.ndarray, ...], columns: list[np.ndarray]) -> None:
+    odds, *seen = tables
+    half = len(odds) // 2
+    h, before = columns[0], scattered(columns[1:])
+    for low, high in zip(_TURNS, _TURNS[1:], strict=False):  # depths that the same predictors take part in
+        depth = np.arange(low, high, dtype=np.uint64)[:, None]
+        node = h >> np.uint64(63) - depth
+        node |= np.uint64(2) << depth  # with the next bit
+        one = (node & np.uint64(1)).view(np.int64)
+        node >>= np.uint64(1)
+        beside, term = one * half, _term(node)
+        s: list[np.ndarray | None] = [odds.take(beside + node.view(np.int64))]
+        depth = depth.astype(np.int64)
+        gate = np.repeat(depth * ACROSS_GATES, len(h), 1)
+        for k in range(1, len(ACROSS)):
+            if low >= DEPTHS[k]:
+                s.append(None)
+                continue
+            at = across_slots(k, term, before)
+            if k < 3:
+                gate += seen[k - 1].take(at)
+            at += beside
+            s.append(odds[ACROSS_STARTS[k] :].take(at))
+        correct(mixer, depth, s, gate, one)
 
-    def step(mixer: Mixer, columns: list[np.ndarray]) -> None:
-        h, before = columns[0], columns[1:]
-        for depth in range(BITS):
-            node, bits = _nodes(h, depth)
-            one = bits.astype(np.float32)
-            s: list[np.ndarray | None] = []
-            gate = np.zeros(len(h), np.int64)
-            for k in range(len(ACROSS)):
-                if depth >= DEPTHS[k]:
-                    s.append(None)
-                    continue
-                n0, n1 = counted(table, across_slots(k, node, before, slice(None)) + ACROSS_STARTS[k], one, 1)
-                s.append(log_odds(n0, n1))
-                if k == 1:
-                    gate += _seen(n0 + n1) * np.int8(4)
-                elif k == 2:
-                    gate += _seen(n0 + n1)
-            correct(mixer, depth, s, depth * ACROSS_GATES + gate, one.astype(float))
 
-    return Learner(Mixer.fresh(ACROSS_GATES * BITS, len(ACROSS), BITS), step, STEP_TOKENS)
+def across_learner(table: np.ndarray) -> Learner:
+    """It learns from the hash bits of tokens and their contexts."""
+    without, n = left(table)
+    one, two = (_seen(n[ACROSS_STARTS[k] : ACROSS_STARTS[k + 1]]) for k in (1, 2))
+    return Learner(Mixer.fresh(ACROSS_GATES * BITS, len(ACROSS), BITS), (without, one * np.int8(4), two), _across_step, STEP_TOKENS)
 
 
 def coded(tokens: Tokens) -> list[np.ndarray]:
@@ -408,7 +504,7 @@ class Across:
         n0, n1 = table[0::2], table[1::2]
         return Across(log_odds(n0, n1).astype(np.float32), _seen(n0 + n1), mixer)
 
-    def bits(self, tokens: Tokens, chunk: int = 1 << 15) -> np.ndarray:
+    def bits(self, tokens: Tokens, chunk: int = 1 << 14) -> np.ndarray:
         """Log probability of each token's hash bits after the words before it."""
         out = np.zeros(len(tokens.ids))
         last = 4095
@@ -422,18 +518,19 @@ class Across:
         seen = [self.seen[a:b] for a, b in zip(begin, begin[1:], strict=False)]
         for a in range(0, len(out), chunk):
             rows = slice(a, a + chunk)
-            h = tokens.hashes[tokens.ids[rows]]
+            h, before = tokens.hashes[tokens.ids[rows]], scattered(tokens.before, rows)
             for depth in range(BITS):
                 node, one = _nodes(h, depth)
-                at = [across_slots(k, node, tokens.before, rows) if depth < DEPTHS[k] else None for k in (1, 2)]
+                term = _term(node)
+                at = [across_slots(k, term, before) if depth < DEPTHS[k] else None for k in (1, 2)]
                 near = [seen[k + 1].take(x) for k, x in enumerate(at) if x is not None]
                 gate = near[0] * np.int8(4) + near[1] if len(near) == 2 else near[0] * np.int8(4) if near else np.zeros(len(h), np.int8)
                 w = weights[depth]
-                x = w[0].take(gate) * odds[0].take(across_slots(0, node, tokens.before, rows))
+                x = w[0].take(gate) * odds[0].take(node.view(np.int64))
                 for k, place in enumerate(at, 1):
                     if place is not None:
                         x += w[k].take(gate) * odds[k].take(place)
-                x += w[3].take(gate) * odds[3].take(across_slots(3, node, tokens.before, rows))
+                x += w[3].take(gate) * odds[3].take(across_slots(3, term, before))
                 x += np.float32(last / 2 + 0.5)
                 np.clip(x, 0, last, out=x)
                 place = x.astype(np.int32)
@@ -596,12 +693,12 @@ def fitted(rows: DataFrame, key: str, slices: int, table: np.ndarray, learner: C
     """The mixer that all rows teach. Each slice's rows go to one task, which learns from them in the order of the key's
     hash; what the slices have learned is summed as whole numbers."""
     spark = rows.sparkSession
-    shared = spark.sparkContext.broadcast(table)  # of fixed size
-    start = learner(table).mixer
+    first = learner(table)
+    shared, start = spark.sparkContext.broadcast(first), first.mixer  # of fixed size
     place = F.xxhash64(key)
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        one = learner(shared.value)
+        one = shared.value.again()
         for batch in batches:
             if batch.num_rows:
                 one.add(columns(batch))
@@ -655,6 +752,37 @@ class Counts:
         return np.log(np.maximum(c - self.discount, 1e-300) / self.mass[(hashes >> np.uint64(64 - BITS)).astype(np.int64)]) + np.log1p(-self.new)
 
 
+@dataclass(frozen=True)
+class Head:
+    """The frequent words in order of their hashes, and their counts."""
+
+    hashes: np.ndarray
+    words: pa.Array
+    counts: np.ndarray
+
+    @staticmethod
+    def of(words: pa.Array, counts: np.ndarray) -> Head:
+        hashes = hashed(words.to_pylist())
+        order = np.argsort(hashes)
+        return Head(hashes[order], words.take(pa.array(order)), counts[order])
+
+    @cached_property
+    def alike(self) -> bool:
+        """Whether two of the words have one hash."""
+        return bool((self.hashes[1:] == self.hashes[:-1]).any())
+
+    def places(self, words: pa.Array, hashes: np.ndarray) -> np.ndarray:
+        """Number of each word, -1 for one that is not there. Found by hash, then compared as a whole."""
+        if self.alike or not len(self.hashes):
+            return pc.fill_null(pc.index_in(words, value_set=self.words), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        at[self.hashes[at] != hashes] = -1
+        met = np.flatnonzero(at >= 0)
+        same = pc.equal(self.words.take(pa.array(at[met])), words.take(pa.array(met)))
+        at[met[~same.to_numpy(zero_copy_only=False)]] = -1
+        return at
+
+
 def score(docs: DataFrame, trains: Column, head: int = HEAD) -> DataFrame:
     """doc_id, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte of every text.
 
@@ -686,14 +814,13 @@ def score(docs: DataFrame, trains: Column, head: int = HEAD) -> DataFrame:
     shared = spark.sparkContext.broadcast((across, speller))  # of the fixed size of the tables
     least = _least(vocabulary, head)
     frequent = vocabulary.where(F.col("c") >= least).select("word", "c").toArrow()  # at most `head` rows
-    known = spark.sparkContext.broadcast((frequent["word"].combine_chunks().cast(pa.large_string()), frequent["c"].to_numpy()))
+    known = spark.sparkContext.broadcast(Head.of(frequent["word"].combine_chunks().cast(pa.large_string()), frequent["c"].to_numpy()))
     zero, end_c = float(np.log10(n + 0.5 * (v + 1))), n_docs
 
     def heads(batch: pa.RecordBatch) -> pa.RecordBatch:
-        words, often = known.value
         found = tokens_of(batch.column(1), common)
         size, docs_here, distinct = batch.num_rows, batch.column(0).to_numpy(), found.distinct
-        at = pc.fill_null(pc.index_in(distinct, value_set=words), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+        often, at = known.value.counts, known.value.places(distinct, found.hashes[:-1])
         c = np.append(np.where(at >= 0, often[at] if len(often) else 0, 0), end_c)
         here = np.append(at >= 0, True)
         bits = shared.value[0].bits(found)

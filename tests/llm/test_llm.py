@@ -141,6 +141,63 @@ def test_mixers_learn_from_every_token_whatever_the_layout(spark, docs):
     assert (a.weights == b.weights).all() and (a.refined == b.refined).all()
 
 
+def learned_plainly(counts, gates, x, bits, gate_of, width):
+    """Weights after online steps over rows: counts (row, predictor, zeros and ones) with the row's own bit in them."""
+    weights = np.full((gates, counts.shape[1]), 1.8 / counts.shape[1])
+    for a in range(0, len(x), width):
+        n = counts[a : a + width].astype(float)
+        one = bits[a : a + width]
+        n[np.arange(len(n)), :, one] -= 1
+        s, gate = np.log((n[..., 1] + 0.25) / (n[..., 0] + 0.25)), gate_of(n.sum(2))
+        error = one - 1 / (1 + np.exp(-np.clip((weights[gate] * s).sum(1), -8, 8)))
+        mass = np.bincount(gate, minlength=gates)[:, None] + 20
+        step, spread = np.zeros((2, *weights.shape))
+        np.add.at(step, gate, error[:, None] * s)
+        np.add.at(spread, gate, s * s)
+        weights += 0.15 * step / mass / np.sqrt(1 + spread / mass)
+    return weights
+
+
+def test_mixers_learn_by_lookup_what_counts_say(monkeypatch):
+    rng, logs, plain = np.random.default_rng(7), [], mixing.log_odds
+    monkeypatch.setattr(mixing, "log_odds", lambda a, b: logs.append(np.size(a)) or plain(a, b))
+    tokens = mixing.tokens_of(pa.array([" ".join(f"w{k}" for k in rng.geometric(0.02, 500)) for _ in range(10)]), pa.array(["w1", "w2"], pa.large_string()))
+    table, h = np.zeros(2 * mixing.ACROSS_STARTS[-1], np.float32), tokens.hashes[tokens.ids]
+    mixing.count_across(tokens, table)
+    table[: 2 * mixing.ACROSS[0]] = mixing.prefix_table(np.bincount((h >> np.uint64(64 - mixing.BITS)).astype(int), minlength=1 << mixing.BITS))
+    cost = []
+    for times in (1, 3):  # a step takes no logarithm: their number follows the table, not the tokens
+        logs.clear()
+        learner = mixing.across_learner(table)
+        for _ in range(times):
+            learner.add(mixing.coded(tokens))
+        mixer = learner.close()
+        cost.append(sum(logs))
+        assert mixer.mass.sum() == times * mixing.BITS * len(h)
+    assert cost[0] == cost[1] <= len(table)
+    # the first bit of each token, straight from the counts
+    bits, term, before = (h >> np.uint64(63)).astype(int), mixing._term(np.ones(len(h), np.uint64)), mixing.scattered(tokens.before)
+    places = [np.ones(len(h), int), *(mixing.across_slots(k, term, before) + mixing.ACROSS_STARTS[k] for k in (1, 2, 3))]
+    counts = table.reshape(-1, 2)[np.stack(places, 1)]
+    level = lambda n: np.minimum((np.log2(n + 1) + 2) / 3, 3).astype(int)
+    want = learned_plainly(counts, 16, h, bits, lambda n: level(n[:, 1]) * 4 + level(n[:, 2]), mixing.STEP_TOKENS)
+    assert np.abs(mixing.fit_across(table, tokens).weights[:16] - want).max() < 1e-4
+
+
+def test_head_words_are_compared_whole(monkeypatch):
+    words = pa.array(["b", "a", "c"], pa.large_string())
+    asked = pa.array(["c", "x", "a", "a"], pa.large_string())
+    head = mixing.Head.of(words, np.array([5, 6, 7]))
+    found = lambda head, hashes: [head.counts[k] if k >= 0 else 0 for k in head.places(asked, hashes)]
+    assert found(head, mixing.hashed(asked.to_pylist())) == [7, 0, 6, 6]
+    # a word that only shares the hash of one, then two of the head that share theirs
+    assert found(head, mixing.hashed(["c", "b", "a", "a"])) == [7, 0, 6, 6]
+    monkeypatch.setattr(mixing, "hashed", lambda ws: np.zeros(len(ws), np.uint64))
+    assert found(mixing.Head.of(words, np.array([5, 6, 7])), np.zeros(4, np.uint64)) == [7, 0, 6, 6]
+    none = mixing.Head.of(words[:0], np.zeros(0, np.int64))
+    assert none.places(asked, np.zeros(4, np.uint64)).tolist() == [-1] * 4
+
+
 def test_spelling_is_a_distribution():
     tables, rng = np.zeros(2 * mixing.STARTS[-1], np.float32), np.random.default_rng(0)
     words = [bytes(rng.integers(97, 103, rng.integers(1, 5)).astype(np.uint8)) for _ in range(300)]
