@@ -27,15 +27,16 @@ class Memo:
     def of(self, keys: list) -> list:
         out = list(map(self.new.get, keys))
         lost = [k for k, v in enumerate(out) if v is None]
+        wanted, back = [keys[k] for k in lost], {}
         if lost and self.old:
-            for k in lost:
-                out[k] = self.old.get(keys[k])
-            back = {keys[k]: out[k] for k in lost if out[k] is not None}
-            lost = [k for k in lost if out[k] is None]
-        else:
-            back = {}
+            found = list(map(self.old.get, wanted))
+            for k, w, v in zip(lost, wanted, found, strict=True):
+                if v is not None:
+                    out[k] = back[w] = v
+            if back:
+                lost = [k for k, v in zip(lost, found, strict=True) if v is None]
+                wanted = [w for w, v in zip(wanted, found, strict=True) if v is None]
         if lost:
-            wanted = [keys[k] for k in lost]
             values = self.compute(wanted)
             for k, v in zip(lost, values, strict=True):
                 out[k] = v
@@ -116,7 +117,8 @@ class Units:
         lists = pc.split_pattern(texts.cast(pa.large_string()), " ")
         n, sizes = len(lists), pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
         coded = lists.flatten().dictionary_encode()
-        ids, names = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary.to_pylist()
+        ids, names = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        del lists, coded
         starts, owner = np.cumsum(sizes) - sizes, np.repeat(np.arange(n), sizes)
         first = np.zeros(len(ids), bool)
         first[starts] = True

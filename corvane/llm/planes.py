@@ -30,13 +30,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import bounded_batches, freed, over_batches, stored, texts
-from .memo import Units, checked, lettered, pre_tokens
+from .memo import LETTERS, Units, checked, lettered, pre_tokens
 
 BLOCK_IDS = 1 << 18
 MAGIC = b"IDP2"
 #: Entries of each memo's generation.
 KEPT = 400_000
 _HEAD = struct.Struct("<4sBBBBIQ")
+_SPACE = LETTERS[32]
 _PACK = [struct.Struct(f"<{n}I").pack for n in range(64)]
 
 
@@ -121,24 +122,36 @@ class LibraryBPE:
         self.marks: dict[str, bytes] = {}
 
     def _units(self, units: list[str]) -> list[bytes]:
-        first, later, marks, words, tokenize, out = self.units.first.new, self.units.later.new, self.marks, self.words, self.model.tokenize, []
-        for unit in units:
-            pieces = pre_tokens(unit, words)
-            if len(pieces) == 1:
+        first, later, marks, words, tokenize = self.units.first.new, self.units.later.new, self.marks, self.words, self.model.tokenize
+        out: list[bytes] = [b""] * len(units)
+        near: dict[str, bytes] = {}  # pieces of this call
+        several = []
+        for k, unit in enumerate(units):
+            body = unit[1:] if unit[0] == " " else unit
+            if body.isalpha() and body.isascii():  # one piece, its letters their own but for the space
+                ids = [x.id for x in tokenize(body if body is unit else _SPACE + body)]
+            else:
+                pieces = pre_tokens(unit, words)
+                if len(pieces) > 1:
+                    several.append((k, pieces))
+                    continue
                 ids = [x.id for x in tokenize(lettered(unit))]
-                out.append(_PACK[len(ids)](*ids) if len(ids) < 64 else np.array(ids, "<u4").tobytes())
-                continue
+            out[k] = near[unit] = _PACK[len(ids)](*ids) if len(ids) < 64 else np.array(ids, "<u4").tobytes()
+        for k, pieces in several:
             joined = []
             for piece in pieces:  # most have been met by themselves
-                found = later.get(piece[1:]) if piece[0] == " " else first.get(piece)
+                found = near.get(piece)
+                if found is None:
+                    found = later.get(piece[1:]) if piece[0] == " " else first.get(piece)
                 if found is None:
                     found = marks.get(piece)
-                    if found is None:
-                        found = np.array([x.id for x in tokenize(lettered(piece))], "<u4").tobytes()
-                        if len(piece) < 5 and len(marks) < KEPT:
-                            marks[piece] = found
+                if found is None:
+                    ids = [x.id for x in tokenize(lettered(piece))]
+                    found = near[piece] = _PACK[len(ids)](*ids) if len(ids) < 64 else np.array(ids, "<u4").tobytes()
+                    if len(piece) < 5 and len(marks) < KEPT:
+                        marks[piece] = found
                 joined.append(found)
-            out.append(b"".join(joined))
+            out[k] = b"".join(joined)
         return out
 
     def _whole(self, text: str) -> bytes:
@@ -159,7 +172,7 @@ def library(path: str, pattern: str) -> LibraryBPE:
 
 def write_planes(docs: DataFrame, tokenizer_path: str, pattern: str, end_id: int = 0, bits: bool = False, block_ids: int = BLOCK_IDS) -> DataFrame:
     """Encode every whole text, append end_id, and write blocks of planes; returns the written table."""
-    bounded_batches(docs.sparkSession, 2)  # units are looked up once a batch
+    bounded_batches(docs.sparkSession, 4)  # units are looked up once a batch
     end = struct.pack("<I", end_id)
     names_of = ["shard", "block", "chain", "n_ids", "doc_ids", "data"]
 

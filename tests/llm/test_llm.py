@@ -380,6 +380,31 @@ def test_planes_of_documents_over_many_blocks(spark, block_ids):
     assert all(r.n_ids == block_ids for r in sizes if r.block < last[r.shard])
 
 
+def test_pieces_of_a_batch_are_encoded_once():
+    from tokenizers import Tokenizer
+
+    path, rng = queries.vocabulary("byte_bpe_50k.json"), np.random.default_rng(5)
+    bpe, tokenizer = planes.LibraryBPE(path, queries.pattern()), Tokenizer.from_file(path)
+
+    class Model:
+        def __init__(self, model):
+            self.model, self.asked = model, []
+
+        def tokenize(self, text):
+            self.asked.append(text)
+            return self.model.tokenize(text)
+
+    bpe.model = Model(bpe.model)
+    ids = lambda texts: [np.frombuffer(x, "<u4").tolist() for x in bpe.encode(pa.array(texts))]
+    want = lambda texts: [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    some = ["x oddword, oddword; oddword (oddword) oddword. oddword", "y newish; newish! newish, \u00fcbrig; \u00fcbrig"]
+    assert ids(some) == want(some)
+    assert all(bpe.model.asked.count(x) == 1 for x in ("\u0120oddword", "\u0120newish", "oddword")) and len(set(bpe.model.asked)) == len(bpe.model.asked)
+    for _ in range(30):
+        texts = ["".join(rng.choice(list("ab'sZ\u00df\u4e2d\u01311.,  \n\t\x1c\u00a0\u3000 x<|>"), rng.integers(0, 40))) for _ in range(50)]
+        assert ids(texts) == want(texts)
+
+
 def test_joined_checksums():
     rng = np.random.default_rng(0)
     for n in (0, 1, 5, 1000):
