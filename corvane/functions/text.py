@@ -44,7 +44,8 @@ def normalize_document(text: Column) -> Column:
 
 
 def sentences(text: Column, pattern: str = SENTENCE_END) -> Column:
-    return F.filter(F.transform(F.split(text, pattern), F.trim), lambda s: s != "")
+    # F.trim itself would get the sentence's number as its second argument: the characters to trim
+    return F.filter(F.transform(F.split(text, pattern), lambda s: F.trim(s)), lambda s: s != "")
 
 
 def preview(text: Column, limit: int = 240) -> Column:

@@ -73,6 +73,11 @@ def test_text(spark):
     assert column(spark, T.html_title, ["<title> A <b>x</b></title>", "<title></title><h1>B</h1>", "<p>"]) == ["A x", "B", None]
 
 
+def test_sentences_keep_their_digits(spark):
+    """A sentence that begins or ends with its own number is whole."""
+    assert column(spark, T.sentences, ["0.5 is it. 1 or 11. 21.2.1! 33 end 3"]) == [["0.5 is it.", "1 or 11.", "21.2.1!", "33 end 3"]]
+
+
 def test_template():
     with pytest.raises(ValueError):
         T.fill("{a} {b}", a=None)
