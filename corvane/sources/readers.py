@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterable
+from itertools import accumulate
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..plans.storage import stored
+
 DOCUMENT = "doc_id string, id string, url string, final_url string, title string, text string, content_type string, content_kind string, crawl_time string, source_domain string, metadata string"
 
 
@@ -121,13 +124,18 @@ def chunk_store(rows: DataFrame, last_wins: bool = False) -> DataFrame:
 
 
 def number_rows(rows: DataFrame, order: str | list[str], name: str = "row_id") -> DataFrame:
-    """Consecutive numbers from 0 in order, without meeting in one task: ranges are counted, then shifted."""
+    """Consecutive numbers from 0 in order, without meeting in one task: ranges are counted, then shifted.
+
+    The ranged rows are written down with their places and counted from there: ranges that are dealt twice may begin
+    elsewhere the second time.
+    """
     order = [order] if isinstance(order, str) else order
-    ranged = rows.repartitionByRange(*order).withColumn("_part", F.spark_partition_id())
-    within = ranged.withColumn("_k", F.row_number().over(Window.partitionBy("_part").orderBy(*order)))
-    sizes = within.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
-    shifts = sizes.select("_part", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_before"))  # a row for each part
-    return within.join(shifts, "_part").withColumn(name, (F.col("_before") + F.col("_k") - 1).cast("long")).drop("_part", "_k", "_before")
+    ranged = stored(rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_ranged", F.monotonically_increasing_id()), "ranged")
+    part, within = F.shiftright("_ranged", 33), F.col("_ranged").bitwiseAND(F.lit((1 << 33) - 1))
+    sizes = ranged.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n")).orderBy("part").collect()  # a row for each range
+    before = dict(zip((r.part for r in sizes), accumulate((r.n for r in sizes), initial=0)))
+    shifts = rows.sparkSession.createDataFrame(list(before.items()), "_range long, _before long")
+    return ranged.withColumn("_range", part).join(F.broadcast(shifts), "_range").withColumn(name, F.col("_before") + within).drop("_range", "_ranged", "_before")
 
 
 def chunk_payload(rows: DataFrame, uid: str = "chunk_uid") -> DataFrame:

@@ -236,6 +236,13 @@ def test_sources(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "raw")).count() == 2
 
 
+def test_number_rows_of_several_ranges(spark):
+    """Numbers go on from range to range, and no row is lost, whatever columns the ranges are counted from."""
+    rows = spark.range(0, 20000, 1, 6).select((F.col("id") * 7919 % 20000).alias("v"), F.sha1(F.col("id").cast("string")).alias("t"))
+    assert [(r.row_id, r.v) for r in readers.number_rows(rows, "v").orderBy("row_id").collect()] == [(k, k) for k in range(20000)]
+    assert readers.number_rows(rows.limit(0), "v").count() == 0
+
+
 def test_rag(spark):
     store = spark.createDataFrame([(0, "Alpha is first. More.", None, None)], "row_id long, text string, title string, url string")
     questions = spark.createDataFrame([(1, "alpha?"), (2, "zzz")], "query_id long, text string")
