@@ -7,7 +7,7 @@ fails is a row with an error. Bodies leave the worker in batches of bounded size
 from __future__ import annotations
 
 import time
-from collections.abc import Callable, Iterator, Mapping
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from urllib.parse import urlsplit
 from urllib.robotparser import RobotFileParser
 
@@ -84,8 +84,8 @@ def _laid_over(below: Column, above: Column) -> Column:
     return F.map_concat(F.map_filter(below, lambda k, _: ~F.map_contains_key(above, k)), above)
 
 
-def policies(urls: DataFrame, domains: DataFrame, seeds: DataFrame | None = None, backend: str = "requests", pause: float = 0.2, respect_robots: bool = True, headers: Mapping[str, str] | None = None, agent: str = "*") -> DataFrame:
-    """urls (url, depth, seed_url) with backend, pause, respect_robots, headers, wait_selector, wait_seconds in force.
+def policies(urls: DataFrame, domains: DataFrame, seeds: DataFrame | None = None, backend: str = "requests", pause: float = 0.2, respect_robots: bool = True, headers: Mapping[str, str] | None = None, agent: str = "*", keep: Sequence[str] = ()) -> DataFrame:
+    """urls (url, depth, seed_url, and the columns to keep) with backend, pause, respect_robots, headers, wait_selector, wait_seconds in force.
 
     A seed's setting goes before its URL's domain's, that before the global one; headers are merged in the other order,
     and the agent's name is added if none is set. A browser backend with a greatest depth gives way to plain requests
@@ -97,7 +97,7 @@ def policies(urls: DataFrame, domains: DataFrame, seeds: DataFrame | None = None
         return rows.select(key, *(F.col(c).cast(t).alias(c) if c in rows.columns else F.lit(None).cast(t).alias(c) for c, t in columns.items()))
 
     own = whole(domains, "domain")
-    found = policy_of(urls.select("url", "depth", "seed_url"), own.select("domain", F.struct(*columns).alias("_d")))
+    found = policy_of(urls.select("url", "depth", "seed_url", *keep), own.select("domain", F.struct(*columns).alias("_d")))
     if seeds is not None:
         mine = whole(seeds, "seed_url").select(U.normalize(F.col("seed_url")).alias("seed_url"), F.struct(*columns).alias("_s"))
         found = found.join(mine.groupBy("seed_url").agg(F.first("_s").alias("_s")), "seed_url", "left")
@@ -113,7 +113,7 @@ def policies(urls: DataFrame, domains: DataFrame, seeds: DataFrame | None = None
     named = F.when(F.map_contains_key(merged, "User-Agent"), merged).otherwise(F.map_concat(merged, F.create_map(F.lit("User-Agent"), F.lit(agent))))
     return found.select(
         "url", "depth", "seed_url", "domain", F.coalesce(lowered(s), lowered(d), F.lit(backend)).alias("backend"), F.coalesce(s["rate_limit_seconds"], d["rate_limit_seconds"], F.lit(pause)).alias("pause"), F.coalesce(s["respect_robots"], d["respect_robots"], F.lit(respect_robots)).alias("respect_robots"),
-        named.alias("headers"), F.coalesce(s["selenium_wait_selector"], d["selenium_wait_selector"]).alias("wait_selector"), F.coalesce(s["selenium_wait_seconds"], d["selenium_wait_seconds"]).alias("wait_seconds"),
+        named.alias("headers"), F.coalesce(s["selenium_wait_selector"], d["selenium_wait_selector"]).alias("wait_selector"), F.coalesce(s["selenium_wait_seconds"], d["selenium_wait_seconds"]).alias("wait_seconds"), *keep,
     )
 
 

@@ -460,8 +460,8 @@ def fetch_policy(spark, sf_dir):
     pages = table(spark, sf_dir, "pages").select("page_id", "url", (F.col("page_id") % 3).cast("int").alias("depth"))
     domains = spark.createDataFrame([("example.com", "selenium", 0, 1.5, None, None), ("example.net", None, None, None, False, {"User-Agent": "domain"}), ("cheap-pills.example.com", "requests", None, 9.0, True, None)], "domain string, backend string, selenium_max_depth int, rate_limit_seconds double, respect_robots boolean, headers map<string,string>")
     seeds = pages.where("page_id % 10 = 0").select(F.col("url").alias("seed_url"), F.lit("requests").alias("backend"), F.lit(0.5).alias("rate_limit_seconds"), F.create_map(F.lit("User-Agent"), F.lit("seed")).alias("headers")).dropDuplicates(["seed_url"])
-    found = fetch.policies(pages.select("url", "depth", U.normalize(F.col("url")).alias("seed_url")), domains, seeds, agent="corvane")
-    return pages.select("page_id", "url").join(found.select("url", "domain", "backend", "pause", "respect_robots", F.col("headers")["User-Agent"].alias("agent")), "url").drop("url")
+    found = fetch.policies(pages.select("page_id", "url", "depth", U.normalize(F.col("url")).alias("seed_url")), domains, seeds, agent="corvane", keep=["page_id"])
+    return found.select("page_id", "domain", "backend", "pause", "respect_robots", F.col("headers")["User-Agent"].alias("agent"))
 
 
 _LINKS = r"""SELECT page_id, url, unnest(h) AS href, unnest(range(len(h))) AS k FROM (SELECT page_id, url, regexp_extract_all(html, '<a\s[^>]*?href="([^"]*)"', 1) AS h FROM pages)"""

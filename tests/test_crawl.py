@@ -97,6 +97,15 @@ def test_cached_content_is_not_fetched(spark, tmp_path):
     assert {(r.url, bytes(r.body)) for r in store.raw().collect()} == {("http://a.com/", PAGES["http://a.com/"].encode()), ("u", b"2")}
 
 
+def test_pages_of_one_url_keep_their_rows(spark, tmp_path):
+    """Two pages of one URL at two depths are two rows, each with its own policy."""
+    from corvane.queries import QUERIES
+
+    spark.createDataFrame([(1, "http://example.com/a"), (2, "http://example.com/a"), (3, "http://example.com/a"), (10, "http://x.org/")], "page_id long, url string").write.parquet(str(tmp_path / "pages.parquet"))
+    got = {(r.page_id, r.backend) for r in QUERIES["fetch_policy"](spark, str(tmp_path)).collect()}
+    assert got == {(1, "requests"), (2, "requests"), (3, "selenium"), (10, "requests")} and QUERIES["fetch_policy"](spark, str(tmp_path)).count() == 4
+
+
 def test_network_policies(spark):
     def transport(url, headers=None):
         return url, 200, "text/plain", f"{url} {(headers or {}).get('User-Agent')}".encode()
