@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import ctypes
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -11,9 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Limits of one Arrow batch handed to Python; a batch always holds at least one row.
-BATCH_ROWS = 1024
-BATCH_BYTES = 4 << 20
+from ..batches import bounded_batches, freed
 
 
 def scratch(spark: SparkSession) -> str:
@@ -42,21 +39,6 @@ def stored(df: DataFrame, name: str, **options: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def bounded_batches(spark: SparkSession, times: int = 1) -> None:
-    """Keep Arrow batches small whatever the length of the texts."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(times * BATCH_ROWS))
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(times * BATCH_BYTES))
-
-
-def freed() -> None:
-    """Give what a task has freed back to the system: the worker process may idle beside others."""
-    pa.default_memory_pool().release_unused()
-    try:
-        ctypes.CDLL("libc.so.6").malloc_trim(0)
-    except (OSError, AttributeError):  # another C library
-        pass
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

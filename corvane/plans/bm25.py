@@ -19,6 +19,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..batches import bounded_batches, freed
 from ..functions import text as T
 from .storage import stored
 
@@ -91,11 +92,14 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             [batch.column(0).take(pa.array(at)), pa.concat_arrays([*counted["term"].cast(pa.string()).chunks, pa.nulls(len(some), pa.string())]), pa.array(np.concatenate([counted["count_all"].to_numpy(), np.zeros(len(some), np.int64)])), pa.array(sizes[at])],
             ["row_id", "term", "tf", "dl"],
         )
+    batch = lists = counted = None
+    freed()
 
 
 def build(rows: DataFrame, key: str = "row_id", text: str = "text", k1: float = 1.5, b: float = 0.75, epsilon: float = 0.25, pattern: str = T.TOKEN, lowercase: bool = True, min_length: int = 1, dedup_repeated_lines: bool = False) -> Bm25Index:
     """Index of rows with unique keys; rows without tokens are left out of every count."""
     settings = Settings(k1, b, epsilon, pattern, lowercase, min_length, dedup_repeated_lines)
+    bounded_batches(rows.sparkSession)
     kind = rows.schema[key].dataType.simpleString()
     counted = stored(rows.select(F.col(key).alias("row_id"), settings.tokens(F.col(text)).alias("tokens")).mapInArrow(_counted, f"row_id {kind}, term string, tf long, dl long"), "bm25")
     postings, doclen = counted.where("term is not null"), counted.where("term is null").select("row_id", "dl")

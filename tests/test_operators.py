@@ -243,6 +243,36 @@ def test_number_rows_of_several_ranges(spark):
     assert readers.number_rows(rows.limit(0), "v").count() == 0
 
 
+def test_batches_do_not_grow_with_the_table(spark, tmp_path, monkeypatch):
+    """No Python step of the core takes all rows of a task, or a task's long texts, at once."""
+    rows = spark.range(0, 4000, 1, 1).select(F.col("id").alias("doc_seq"), F.col("id").cast("string").alias("doc_id"), F.repeat(F.lit("some words. "), F.when(F.col("id") < 200, 20000).otherwise(9).cast("int")).alias("text"))
+    real, log = type(rows).mapInArrow, str(tmp_path / "sizes")
+
+    def noted(self, f, schema, *more):
+        def run(batches):
+            def each():
+                for batch in batches:
+                    with open(log, "a") as out:
+                        out.write(f"{batch.num_rows} {batch.nbytes}\n")
+                    yield batch
+
+            return f(each())
+
+        return real(self, run, schema, *more)
+
+    monkeypatch.setattr(type(rows), "mapInArrow", noted)
+    kept = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    steps = (lambda: bm25.build(rows, "doc_id").n, lambda: chunking.split_blocks(rows).agg(F.sum("word_count")).first()[0], lambda: html.parse(rows.withColumnRenamed("text", "html"), lambda x: x).agg(F.sum(F.length("raw_text"))).first()[0])
+    for step, right in zip(steps, (4000, 3800 * 18 + 200 * 40000, (3800 * 9 + 200 * 20000) * 12), strict=True):
+        (tmp_path / "sizes").unlink(missing_ok=True)
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
+        spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+        found = step()
+        sizes = [tuple(map(int, x.split())) for x in (tmp_path / "sizes").read_text().splitlines()]
+        assert found >= right and sum(n for n, _ in sizes) == 4000 and max(n for n, _ in sizes) <= 1024 and max(b for _, b in sizes) < 8 << 20
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", kept)
+
+
 def test_rag(spark):
     store = spark.createDataFrame([(0, "Alpha is first. More.", None, None)], "row_id long, text string, title string, url string")
     questions = spark.createDataFrame([(1, "alpha?"), (2, "zzz")], "query_id long, text string")
