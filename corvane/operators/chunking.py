@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..batches import bounded_batches, freed
 from ..functions import hashing as H
 from ..functions import text as T
 from . import stats
@@ -67,7 +68,10 @@ def split_blocks(docs: DataFrame, config: ChunkConfig = ChunkConfig()) -> DataFr
             if batch.num_rows:
                 packed = [pack(s or [], config.max_block_words, config.overlap_sentences) for s in batch.column(2).to_pylist()]
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(packed, pa.list_(pa.string()))], ["doc_seq", "doc_id", "blocks"])
+        batch = packed = None
+        freed()
 
+    bounded_batches(docs.sparkSession)
     split = docs.select(F.col("doc_seq").cast("long"), F.col("doc_id").cast("string"), T.sentences(T.normalize_document(F.col("text"))).alias("s"))
     packed = split.mapInArrow(run, "doc_seq long, doc_id string, blocks array<string>")
     kept = F.filter("blocks", lambda b: (T.word_count(b) >= max(1, config.min_block_words)) & (F.char_length(b) >= config.min_block_chars))
