@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..batches import bounded_batches, freed
 from ..functions import text as T
 from ..functions import url as U
 
@@ -137,7 +138,10 @@ def parse(pages: DataFrame, extractor: Callable[[str], str] = default_extractor,
                     done.append("")
                     failed.append(f"{type(error).__name__}: {error}")
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(done, pa.string()), pa.array(failed, pa.string())], [*names, "raw_text", "_failure"])
+        batch = done = failed = None
+        freed()
 
+    bounded_batches(pages.sparkSession)
     found = pages.mapInArrow(run, schema)
     nothing = F.when(F.col("_failure").isNotNull(), F.concat(F.lit(NO_TEXT + " ("), "_failure", F.lit(")"))).otherwise(F.lit(NO_TEXT))
     error = F.when(F.col("raw_text") == "", nothing).otherwise(quality_error(F.col("raw_text"), min_chars, min_words))
