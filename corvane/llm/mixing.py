@@ -783,6 +783,56 @@ class Head:
         return at
 
 
+def learned_words(learned: DataFrame) -> tuple[DataFrame, list[int]]:
+    """(word, c, prefix) of the training texts, stored; words, tokens, words met once and twice, texts."""
+
+    def prefixed(batch: pa.RecordBatch) -> pa.RecordBatch:
+        prefix = (hashed(batch.column(0).to_pylist()) >> np.uint64(64 - BITS)).astype(np.int32)
+        return pa.RecordBatch.from_arrays([*batch.columns, pa.array(prefix)], ["word", "c", "prefix"])
+
+    vocabulary = stored(over_batches(count_words(learned), prefixed, "word string, c long, prefix int"), "vocabulary")
+    found = vocabulary.agg(F.count(F.lit(1)), F.sum("c"), F.count_if(F.col("c") == 1), F.count_if(F.col("c") == 2), F.max(F.when(F.col("word") == END.decode(), F.col("c")))).first()
+    return vocabulary, [x or 0 for x in found]
+
+
+def frequent_words(vocabulary: DataFrame, least: int) -> Head:
+    """The words that are met `least` times or more."""
+    frequent = vocabulary.where(F.col("c") >= least).select("word", "c").toArrow()  # at most `head` rows
+    return Head.of(frequent["word"].combine_chunks().cast(pa.large_string()), frequent["c"].to_numpy())
+
+
+def base_scores(docs: DataFrame, trains: Column, head: int = HEAD) -> DataFrame:
+    """doc_id, n_tokens, n_known, train_tokens, base_score of every text as `score` gives them. They hang on the words'
+    counts alone, so no mixer is learned."""
+    spark, rows = docs.sparkSession, texts(docs)
+    vocabulary, (v, n, _, _, end_c) = learned_words(rows.where(trains))
+    least = _least(vocabulary, head)
+    known = spark.sparkContext.broadcast(frequent_words(vocabulary, least))
+    zero = float(np.log10(n + 0.5 * (v + 1)))
+
+    def heads(batch: pa.RecordBatch) -> pa.RecordBatch:
+        distinct, ids, owner = split_words(batch.column(1))
+        size, often = batch.num_rows, known.value.counts
+        at = known.value.places(distinct, hashed(distinct.to_pylist()))
+        hit = at[ids] >= 0
+        base = np.bincount(owner[hit], np.log10(often[at[ids[hit]]] + 0.5), size) + np.log10(end_c + 0.5)
+        width = max(1, len(distinct))
+        pairs, times = np.unique(owner[~hit] * width + ids[~hit], return_counts=True)
+        none = np.zeros(len(pairs))
+        columns = [
+            pa.array(np.concatenate([batch.column(0).to_numpy(), batch.column(0).to_numpy()[pairs // width]])), pa.concat_arrays([pa.nulls(size, pa.string()), distinct.take(pa.array(pairs % width)).cast(pa.string())]),
+            pa.array(np.concatenate([np.bincount(owner, minlength=size) + 1, times]).astype(np.int64)), pa.array(np.concatenate([np.bincount(owner[hit], minlength=size) + (end_c > 0), none]).astype(np.int64)), pa.array(np.concatenate([base, none])),
+        ]
+        return pa.RecordBatch.from_arrays(columns, ["doc_id", "word", "n", "known", "base"])
+
+    placed = stored(over_batches(rows, heads, "doc_id long, word string, n long, known long, base double"), "tokens")
+    rest = placed.where("word is not null").select("word", "doc_id", "n").join(vocabulary.where(F.col("c") < least).select("word", "c"), "word", "left")
+    more = rest.select("doc_id", F.lit(0).cast("long").alias("tokens"), F.when(F.col("c") > 0, F.col("n")).otherwise(0).alias("known"), (F.col("n") * F.log10(F.coalesce("c", F.lit(0)) + 0.5)).alias("base"))
+    every = placed.where("word is null").select("doc_id", F.col("n").alias("tokens"), "known", "base").unionByName(more)
+    total = every.groupBy("doc_id").agg(*(F.sum(c).alias(c) for c in ("tokens", "known", "base")))
+    return total.select("doc_id", F.col("tokens").alias("n_tokens"), F.col("known").alias("n_known"), F.lit(n).cast("long").alias("train_tokens"), (F.col("base") - F.col("tokens") * zero).alias("base_score"))
+
+
 def score(docs: DataFrame, trains: Column, head: int = HEAD) -> DataFrame:
     """doc_id, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte of every text.
 
@@ -792,13 +842,7 @@ def score(docs: DataFrame, trains: Column, head: int = HEAD) -> DataFrame:
     spark, rows = docs.sparkSession, texts(docs)
     learned = rows.where(trains)
     bounded_batches(spark)
-
-    def prefixed(batch: pa.RecordBatch) -> pa.RecordBatch:
-        prefix = (hashed(batch.column(0).to_pylist()) >> np.uint64(64 - BITS)).astype(np.int32)
-        return pa.RecordBatch.from_arrays([*batch.columns, pa.array(prefix)], ["word", "c", "prefix"])
-
-    vocabulary = stored(over_batches(count_words(learned), prefixed, "word string, c long, prefix int"), "vocabulary")
-    v, n, once, twice, n_docs = (x or 0 for x in vocabulary.agg(F.count(F.lit(1)), F.sum("c"), F.count_if(F.col("c") == 1), F.count_if(F.col("c") == 2), F.max(F.when(F.col("word") == END.decode(), F.col("c")))).first())
+    vocabulary, (v, n, once, twice, n_docs) = learned_words(learned)
     common = pa.array([r.word for r in vocabulary.where(F.col("word") != END.decode()).orderBy(F.desc("c"), "word").limit(COMMON).collect()], pa.large_string())
     discount = float(np.clip(once / max(once + 2 * twice, 1), 0.1, 0.95)) if once else 0.5
     mass, whole = np.zeros((2, 1 << BITS))
@@ -813,8 +857,7 @@ def score(docs: DataFrame, trains: Column, head: int = HEAD) -> DataFrame:
     speller = Model(spell_table, fitted(met, "word", max(1, -(-v // SLICE_WORDS)), spell_table, spelling_learner, lambda batch: spelled(*in_groups(batch.column(0), batch.column(1)))))
     shared = spark.sparkContext.broadcast((across, speller))  # of the fixed size of the tables
     least = _least(vocabulary, head)
-    frequent = vocabulary.where(F.col("c") >= least).select("word", "c").toArrow()  # at most `head` rows
-    known = spark.sparkContext.broadcast(Head.of(frequent["word"].combine_chunks().cast(pa.large_string()), frequent["c"].to_numpy()))
+    known = spark.sparkContext.broadcast(frequent_words(vocabulary, least))
     zero, end_c = float(np.log10(n + 0.5 * (v + 1))), n_docs
 
     def heads(batch: pa.RecordBatch) -> pa.RecordBatch:

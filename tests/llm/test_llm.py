@@ -94,6 +94,19 @@ def test_mixing_odd_rows(spark):
     assert mixing.score(odd.where("false"), F.lit(True)).count() == 0
 
 
+def test_mixing_base_learns_no_mixer(spark, docs, monkeypatch):
+    """The counted columns are those of the whole operator, and are had without its mixers."""
+    cases = [(rows(spark), F.col("doc_id") >= 0), (rows(spark), F.lit(False)), (docs.limit(40), bucket("doc_id", 5) != 1)]
+    whole = [by_id(mixing.score(d, t)) for d, t in cases]
+    monkeypatch.setattr(mixing, "fitted", None)
+    monkeypatch.setattr(mixing, "count_contexts", None)
+    for (d, t), want in zip(cases, whole, strict=True):
+        for head in (4, 100_000):
+            got = by_id(mixing.base_scores(d, t, head))
+            assert got.keys() == want.keys() and all((r.n_tokens, r.n_known, r.train_tokens) == (want[k].n_tokens, want[k].n_known, want[k].train_tokens) and abs(r.base_score - want[k].base_score) < 1e-6 for k, r in got.items())
+    assert queries.mixing_base(spark, "/root/testdata/sf0.001").count() == 200 and mixing.base_scores(rows(spark).where("false"), F.lit(True)).count() == 0
+
+
 def test_mixing_does_not_depend_on_the_layout(spark, docs):
     small = docs.limit(60)
     trains = bucket("doc_id", 5) != 1
